@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -132,10 +133,10 @@ def _schemas(spark: SparkSession, month: MonthFile) -> list[tuple[MonthFile, T.S
     try:
         # Spark reads the footers of a directory in a job of its own.
         return [(month, spark.read.option("mergeSchema", True).parquet(month.path).schema)]
-    except PySparkException:
-        parts = _part_files(spark, month)
-        if [p.path for p in parts] == [month.path]:
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
+        parts = _part_files(spark, month)
         return [(part, spark.read.parquet(part.path).schema) for part in parts]
 
 
