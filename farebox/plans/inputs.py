@@ -14,20 +14,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as raw trips, with the normalised names and types."""
     c = F.col
-    minute = (c("l_orderkey") * 37 + c("l_linenumber") * 211) % 1440
-    seconds = (c("l_partkey") * 13 + c("l_linenumber") * 71) % 12000
+    waited = (c("l_orderkey") * 37 + c("l_linenumber") * 211) % 1440 * F.expr("INTERVAL '1' MINUTE")
+    driven = (c("l_partkey") * 13 + c("l_linenumber") * 71) % 12000 * F.expr("INTERVAL '1' SECOND")
     fare = c("l_extendedprice") / 100
     return (
         table(spark, folder, "lineitem")
         .withColumns({
-            "tpep_pickup_datetime": c("l_shipdate") + F.make_dt_interval(mins=minute.cast("int")),
+            "tpep_pickup_datetime": c("l_shipdate") + waited,
             "tip_amount": fare * c("l_discount") * 2,
         })
         .select(
             (c("l_suppkey") % 2 + 1).cast("int").alias("vendor_id"),
             "tpep_pickup_datetime",
-            (c("tpep_pickup_datetime") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
-            .alias("tpep_dropoff_datetime"),
+            (c("tpep_pickup_datetime") + driven).alias("tpep_dropoff_datetime"),
             (c("l_quantity").cast("int") % 8).cast("double").alias("passenger_count"),
             ((c("l_partkey") % 300).cast("double") / 10).alias("trip_distance"),
             fare.alias("fare_amount"),

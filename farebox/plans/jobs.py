@@ -71,8 +71,6 @@ def _load(
     spark: SparkSession, raw_dir: str, store: Store, table: TripTable, months: Sequence[date],
     layout: str,
 ) -> LoadResult:
-    if not table.exists():
-        raise RuntimeError(f"no trip table at {store.table}; create it first")
     files = find_months(spark, raw_dir, months)
     found = {f.month for f in files}
     result = LoadResult(missing=[m for m in months if m not in found])

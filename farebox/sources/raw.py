@@ -8,9 +8,10 @@ grows with the number of distinct schemas, not with the number of months.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -19,7 +20,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.months import month_bounds
-from ..functions.scalar import month_start
 from ..schema import RAW_COLUMNS, TRIP_SCHEMA
 
 #: Finds the month in a path; the part before it is the month's own file or directory.
@@ -28,10 +28,13 @@ MONTH_IN_PATH = r"^(.*?(\d{4}-\d{2})\.parquet)(?:/|$)"
 _SCHEMA_READERS = 8
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, order=True)
 class MonthFile:
+    """A file or directory of one month; ``uri`` is how row metadata spell its path."""
+
     month: date
     path: str
+    uri: str
 
 
 @dataclass(frozen=True)
@@ -45,8 +48,8 @@ class RawMonths:
     """Normalised trips of the accepted months, and what the schema gate turned away."""
 
     trips: DataFrame
-    accepted: list[MonthFile] = field(default_factory=list)
-    rejected: list[Rejected] = field(default_factory=list)
+    accepted: list[MonthFile]
+    rejected: list[Rejected]
 
     def gate_report(self) -> DataFrame:
         rows = [(f.month, f.path, True, None) for f in self.accepted]
@@ -61,22 +64,28 @@ def path_month(path: Column) -> Column:
     return F.to_date(F.concat(F.regexp_extract(path, MONTH_IN_PATH, 2), F.lit("-01")))
 
 
-def listed_months(spark: SparkSession, root: str) -> DataFrame:
-    """``(month, path)``, one row per month found under ``root``.
+def _listing(spark: SparkSession, root: str) -> DataFrame:
+    """Parquet files under ``root``.
 
-    The binary-file source lists on any file system Spark can read; asking for the path alone
-    reads no file content.
+    The binary-file source lists on any file system Spark can read, and reads no file content as
+    long as none is asked for.
     """
-    listing = (
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(root)
+        .select("path", F.col("_metadata.file_path").alias("uri"))
     )
+
+
+def listed_months(spark: SparkSession, root: str) -> DataFrame:
+    """``(month, path, uri)``, one row per month found under ``root``."""
     return (
-        listing.where(F.col("path").rlike(MONTH_IN_PATH))
+        _listing(spark, root)
+        .where(F.col("path").rlike(MONTH_IN_PATH))
         .select(path_month(F.col("path")).alias("month"),
-                F.regexp_extract("path", MONTH_IN_PATH, 1).alias("path"))
+                *[F.regexp_extract(c, MONTH_IN_PATH, 1).alias(c) for c in ("path", "uri")])
         .distinct()
     )
 
@@ -88,7 +97,7 @@ def find_months(
     found = listed_months(spark, root)
     if months is not None:
         found = found.where(F.col("month").isin(list(months)))
-    return [MonthFile(r.month, r.path) for r in found.orderBy("month", "path").collect()]
+    return sorted(MonthFile(*row) for row in found.collect())
 
 
 def normalise(raw: DataFrame, *extra: Column) -> DataFrame:
@@ -117,17 +126,6 @@ def _needed(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(c, types[c]) for c in RAW_COLUMNS])
 
 
-def _part_files(spark: SparkSession, month: MonthFile) -> list[MonthFile]:
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(month.path)
-        .select("path")
-    )
-    return [MonthFile(month.month, r.path) for r in listing.collect()]
-
-
 def _schemas(spark: SparkSession, month: MonthFile) -> list[tuple[MonthFile, T.StructType]]:
     """Schema of a month; of each of its part files where they disagree on a type."""
     try:
@@ -136,14 +134,21 @@ def _schemas(spark: SparkSession, month: MonthFile) -> list[tuple[MonthFile, T.S
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-        parts = _part_files(spark, month)
+        parts = [MonthFile(month.month, *row) for row in _listing(spark, month.path).collect()]
         return [(part, spark.read.parquet(part.path).schema) for part in parts]
 
 
-def own_month_only(trips: DataFrame, file_month: str) -> DataFrame:
-    """Keep the rows picked up in the month their file is named after."""
-    pickup = F.col("tpep_pickup_datetime")
-    return trips.where(month_start(pickup) == F.col(file_month)).drop(file_month)
+def in_own_month(pickup: Column, uri: Column, files: Sequence[MonthFile]) -> Column:
+    """Whether a row was picked up in the month its file is named after.
+
+    ``files`` holds each month once. The month of the row picks the path it must have come from:
+    an array access and a comparison of bytes. Cutting the month out of the path for every row
+    costs several times as much.
+    """
+    number = {f.month.year * 12 + f.month.month: f.uri for f in files}
+    first = min(number)
+    uris = F.array(*[F.lit(number.get(n)) for n in range(first, max(number) + 1)])
+    return uri.startswith(F.get(uris, F.year(pickup) * 12 + F.month(pickup) - first))
 
 
 def in_months(pickup: Column, months: Iterable[date]) -> Column:
@@ -157,34 +162,42 @@ def in_months(pickup: Column, months: Iterable[date]) -> Column:
 
 def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
     """Scan month files that may differ in schema; foreign-month rows are dropped."""
-    groups: dict[str, tuple[T.StructType, list[MonthFile]]] = {}
-    result = RawMonths(spark.createDataFrame([], TRIP_SCHEMA))
+    accepted: list[MonthFile] = []
+    rejected: list[Rejected] = []
+    # Scans: by schema, and by turn where a month has several files.
+    groups: dict[tuple[str, int], tuple[T.StructType, list[MonthFile]]] = {}
+    turns: Counter = Counter()
     with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
         found = list(pool.map(lambda f: _schemas(spark, f), files))
     for file, schema in (pair for month in found for pair in month):
         missing = missing_columns(schema)
         if missing:
-            result.rejected.append(Rejected(file, missing))
+            rejected.append(Rejected(file, missing))
             continue
-        result.accepted.append(file)
+        accepted.append(file)
         needed = _needed(schema)
-        groups.setdefault(needed.json(), (needed, []))[1].append(file)
+        key = needed.json()
+        turn = turns[key, file.month]
+        turns[key, file.month] += 1
+        groups.setdefault((key, turn), (needed, []))[1].append(file)
 
+    pickup = F.col("tpep_pickup_datetime")
     branches = []
     for needed, members in groups.values():
-        months = [m.month for m in members]
         scan = (
             spark.read.schema(needed)
             .option("recursiveFileLookup", True)
             .parquet(*[m.path for m in members])
         )
-        trips = normalise(scan, path_month(F.col("_metadata.file_path")).alias("file_month"))
+        trips = normalise(scan, F.col("_metadata.file_path").alias("uri"))
         branches.append(
-            own_month_only(trips.where(in_months(F.col("tpep_pickup_datetime"), months)), "file_month")
+            trips.where(in_months(pickup, [m.month for m in members]))
+            .where(in_own_month(pickup, F.col("uri"), members))
+            .drop("uri")
         )
-    if branches:
-        result.trips = reduce(DataFrame.unionByName, branches)
-    return result
+    if not branches:
+        branches.append(spark.createDataFrame([], TRIP_SCHEMA))
+    return RawMonths(reduce(DataFrame.unionByName, branches), accepted, rejected)
 
 
 def row_count(trips: DataFrame) -> DataFrame:

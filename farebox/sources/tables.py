@@ -31,6 +31,10 @@ def replace_partitions(frame: DataFrame, path: str, partition: str, **options) -
         .parquet(path))
 
 
+class MissingTable(RuntimeError):
+    """The table was never created."""
+
+
 class TripTable:
     """Cleaned trips at ``path``. The table has no key; a month is the unit of replacement."""
 
@@ -40,24 +44,25 @@ class TripTable:
 
     def exists(self) -> bool:
         try:
-            self.spark.read.schema(TABLE_SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+            self.read()
+        except MissingTable:
             return False
         return True
 
     def create(self) -> "TripTable":
         """Create the empty table; an existing one is left as it is."""
-        if not self.exists():
-            empty = self.spark.createDataFrame([], TABLE_SCHEMA)
-            empty.write.mode("ignore").partitionBy(MONTH_COLUMN).parquet(self.path)
+        empty = self.spark.createDataFrame([], TABLE_SCHEMA)
+        empty.write.mode("ignore").partitionBy(MONTH_COLUMN).parquet(self.path)
         return self
 
     def read(self, months: Iterable[date] | None = None) -> DataFrame:
-        """All trips, or those of some months (other partitions are not listed)."""
-        self._check()
-        trips = self.spark.read.schema(TABLE_SCHEMA).parquet(self.path)
+        """All trips, or those of some months, whose partitions alone are then read."""
+        try:
+            trips = self.spark.read.schema(TABLE_SCHEMA).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise MissingTable(f"no trip table at {self.path}; create it first") from error
         if months is not None:
             trips = trips.where(F.col(MONTH_COLUMN).isin(list(months)))
         return trips
@@ -77,7 +82,8 @@ class TripTable:
         months; adaptive execution cuts a month that is too large into several even files, so a
         month holding most of the rows does not end in one task.
         """
-        self._check()
+        if not self.exists():
+            raise MissingTable(f"no trip table at {self.path}; create it first")
         stamp = F.lit(loaded_at.isoformat(" ")) if loaded_at else F.current_timestamp()
         frame = trips.select(
             *[_required(c).alias(c) if c.endswith("datetime") else F.col(c) for c in TABLE_COLUMNS],
@@ -102,10 +108,6 @@ class TripTable:
         """Rows per month from the partition value and the file footers."""
         return self.read(months).groupBy(MONTH_COLUMN).agg(F.count(F.lit(1)).alias("trip_count"))
 
-    def _check(self) -> None:
-        if not self.exists():
-            raise RuntimeError(f"no trip table at {self.path}; create it first")
-
 
 def export_csv(trips: DataFrame, path: str, max_records_per_file: int = 200_000) -> None:
     """Headed CSV for bulk loaders, written in parallel, at most so many rows a file."""

@@ -1,14 +1,14 @@
 """Each cleaning rule at both sides of its limit."""
 
 import math
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 
 from farebox.functions.months import months_of_year
 from farebox.operators.clean import clean, cleaning_report, in_month_set
 from farebox.schema import TABLE_COLUMNS, TRIP_SCHEMA
-from farebox.sources.raw import own_month_only
+from farebox.sources.raw import MonthFile, in_own_month
 from pyspark.sql import functions as F
 
 MONDAY = datetime(2024, 1, 15, 9)
@@ -93,9 +93,12 @@ def test_own_month_and_month_set_differ_on_strays(spark):
     stray = trip(pickup=datetime(2024, 2, 1))
     early = trip(pickup=datetime(2023, 12, 31, 23, 59, 59))
     frame = spark.createDataFrame([trip(), stray, early], TRIP_SCHEMA)
-    own = own_month_only(
-        frame.withColumn("file_month", F.make_date(F.lit(2024), F.lit(1), F.lit(1))), "file_month")
+    january = MonthFile(date(2024, 1, 1), "/raw/2024-01.parquet", "file:/raw/2024-01.parquet")
+    april = MonthFile(date(2024, 4, 1), "/raw/2024-04.parquet", "file:/raw/2024-04.parquet")
+    pickup = F.col("tpep_pickup_datetime")
+    own = frame.where(in_own_month(pickup, F.lit(f"{january.uri}/part-0"), [january, april]))
     assert [r.tpep_pickup_datetime for r in own.collect()] == [MONDAY]
+    assert frame.where(in_own_month(pickup, F.lit(april.uri), [january, april])).count() == 0
     months = months_of_year(2024, "1-2")
     assert in_month_set(frame, months).count() == 2
     assert in_month_set(frame, []).count() == 0

@@ -44,6 +44,13 @@ def test_one_month_with_two_schemas(spark, folder):
     assert {f.month for f in raw.accepted} == {date(2024, 1, 1)}
 
 
+def test_one_month_in_two_places(spark, folder):
+    month_file(f"{folder}/a b", date(2024, 1, 1), rows=10)
+    month_file(f"{folder}/c", date(2024, 1, 1), rows=20)
+    month_file(f"{folder}/c", date(2024, 2, 1), rows=40, strays=[datetime(2024, 1, 1)])
+    assert read_months(spark, find_months(spark, folder)).trips.count() == 70
+
+
 def test_gate_reports_missing_columns(spark, folder):
     month_file(folder, date(2009, 1, 1), drop=["passenger_count", "total_amount"])
     month_file(folder, date(2024, 1, 1), rows=10)
