@@ -7,6 +7,7 @@ import sys
 from datetime import date
 
 from .functions.months import parse_month
+from .functions.scalar import utc_now
 from .operators import quality
 from .operators.views import register_views
 from .plans import jobs
@@ -77,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"passed: {rows:,} rows, no fare out of range")
         case "health":
             report = quality.health_report(
-                table.read(), RunLedger(spark, store.ledger).read(), as_of=jobs.utc_now()
+                table.read(), RunLedger(spark, store.ledger).read(), as_of=utc_now()
             ).collect()
             for check in report:
                 print(f"[{'PASS' if check.passed else 'FAIL'}] {check.check_name}: {check.value}")

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 from ..schema import WEEKDAYS
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def timestamp_literal(moment: datetime) -> Column:
+    """A naive timestamp, passed as text so that no time zone gets between."""
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def trip_minutes(pickup: Column, dropoff: Column) -> Column:
     """Minutes between two timestamps, whole seconds, two decimals.
 

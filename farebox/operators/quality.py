@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
-from ..functions.scalar import elapsed_hours, ratio, round_half_up
+from ..functions.scalar import elapsed_hours, ratio, round_half_up, timestamp_literal
 from .months import month_row_count
 
 
@@ -47,7 +47,7 @@ def require_quality(trips: DataFrame, month: date) -> int:
 def _at(moment: datetime | None, frame: DataFrame, column: str) -> Column:
     """A moment as a literal, or the latest one in the frame as a scalar subquery."""
     if moment is not None:
-        return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+        return timestamp_literal(moment)
     return frame.agg(F.max(column)).scalar()
 
 

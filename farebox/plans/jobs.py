@@ -5,11 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.months import month_span, months_of_year, target_month
+from ..functions.scalar import timestamp_literal, utc_now
 from ..operators.clean import clean
 from ..operators.quality import require_quality
 from ..operators.summary import trip_summary
@@ -20,10 +21,6 @@ from ..sources.raw import Rejected, find_months, read_months
 from ..sources.tables import TripTable, replace_partitions
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 @dataclass(frozen=True)
 class Store:
     """Where the trip table, the run ledger and, if kept, the stored summary live."""
@@ -94,7 +91,7 @@ def _load(
 
 def _loaded_rows(table: TripTable, months: Sequence[date], stamp: datetime) -> dict[date, int]:
     """Rows per month carrying this load's stamp; one short row per month reaches the driver."""
-    fresh = table.read(months).where(F.col("loaded_at") == F.lit(stamp.isoformat(" ")))
+    fresh = table.read(months).where(F.col("loaded_at") == timestamp_literal(stamp))
     counts = fresh.groupBy(MONTH_COLUMN).agg(F.count(F.lit(1)).alias("n"))
     return {row[MONTH_COLUMN]: row.n for row in counts.collect()}
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.scalar import utc_now
 from ..schema import LEDGER_SCHEMA
 
 
@@ -35,7 +36,7 @@ class RunLedger:
     def _append(self, entries: list[tuple], at: datetime | None) -> None:
         if not entries:
             return
-        at = at or datetime.now(timezone.utc).replace(tzinfo=None)
+        at = at or utc_now()
         rows = [
             (str(uuid.uuid4()), month.year, month.month, loaded, status, error, seconds, at)
             for month, loaded, status, error, seconds in entries

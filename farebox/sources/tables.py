@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.scalar import month_start
+from ..functions.scalar import month_start, timestamp_literal, utc_now
 from ..schema import MONTH_COLUMN, TABLE_COLUMNS, TABLE_SCHEMA
 
 
@@ -84,10 +84,10 @@ class TripTable:
         """
         if not self.exists():
             raise MissingTable(f"no trip table at {self.path}; create it first")
-        stamp = F.lit(loaded_at.isoformat(" ")) if loaded_at else F.current_timestamp()
+        loaded_at = loaded_at or utc_now()
         frame = trips.select(
             *[_required(c).alias(c) if c.endswith("datetime") else F.col(c) for c in TABLE_COLUMNS],
-            stamp.cast("timestamp_ntz").alias("loaded_at"),
+            timestamp_literal(loaded_at).alias("loaded_at"),
             month_start(F.col("tpep_pickup_datetime")).alias(MONTH_COLUMN),
         )
         if layout == "rebalance":
