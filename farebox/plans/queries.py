@@ -12,7 +12,7 @@ from ..functions import scalar
 from ..functions.months import month_span, months_of_year
 from ..operators import clean as C, dashboards as D, joins as J, months as M, quality as Q, views as V
 from ..operators.summary import trip_summary
-from ..schema import RAW_COLUMNS
+from ..schema import MONTH_COLUMN, RAW_COLUMNS
 from ..session import shared_dir
 from ..sources import arrow_sink, raw as R
 from . import inputs
@@ -44,8 +44,8 @@ def _derived(name: str, column: Callable[[], object]) -> Query:
 def _joined(join, right) -> Query:
     """Join the hourly view to a coarser one.
 
-    Both come from one summary. It is checkpointed, a few hundred bytes per month and slot, so the
-    trips are scanned once and not once per side.
+    Both come from one summary. It is checkpointed, at most 168 short rows a month, so the trips
+    are scanned once and not once per side.
     """
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,13 +66,23 @@ def _replace_month(trips: DataFrame) -> DataFrame:
     return M.replace_months(trips, again, [ONE_MONTH])
 
 
-def _coverage_request(trips: DataFrame) -> DataFrame:
-    """From the first month with trips to the end of the year of the last."""
-    pickup = F.col("tpep_pickup_datetime").cast("date")
-    return M.requested_months(trips.agg(
-        F.min(pickup).alias("first"),
-        F.make_date(F.year(F.max(pickup)), F.lit(12), F.lit(31)).alias("last"),
-    ))
+def _coverage(operator) -> Query:
+    """Loaded months against all months up to the end of the last year.
+
+    Both sides start from the distinct months, checkpointed so that the trips are scanned once.
+    """
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        shared_dir(spark)
+        loaded = M.loaded_months(inputs.trips(spark, folder)).checkpoint()
+        month = F.col(MONTH_COLUMN)
+        requested = M.requested_months(loaded.agg(
+            F.min(month).alias("first"),
+            F.make_date(F.year(F.max(month)), F.lit(12), F.lit(31)).alias("last"),
+        ))
+        return operator(requested, loaded)
+
+    return query
 
 
 def _target_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,8 +108,8 @@ def queries() -> dict[str, Query]:
             lambda t: arrow_sink.total_rows(arrow_sink.write_partitions(t))),
         "delete_month_range": _clean(lambda t: M.delete_month_range(t, DELETED)),
         "replace_month": _clean(_replace_month),
-        "month_coverage": _raw(lambda t: M.month_coverage(_coverage_request(t), M.loaded_months(t))),
-        "missing_months": _raw(lambda t: M.missing_months(_coverage_request(t), M.loaded_months(t))),
+        "month_coverage": _coverage(M.month_coverage),
+        "missing_months": _coverage(M.missing_months),
         "target_month": _target_month,
         # Projections
         "trip_duration": _derived("trip_duration_min", C.minutes),
