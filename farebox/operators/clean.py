@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions import scalar
-from ..sources.raw import in_months
 
 # Every rule is NULL or false for a missing value, so such rows are dropped. Spark orders NaN above
 # every number: rules with an upper bound reject it by themselves, the others say so. The plain
@@ -59,11 +56,6 @@ def clean(trips: DataFrame) -> DataFrame:
     )
 
 
-def in_month_set(trips: DataFrame, months: Iterable[date]) -> DataFrame:
-    """Trips picked up in any of the months."""
-    return trips.where(in_months(F.col("tpep_pickup_datetime"), months))
-
-
 def cleaning_report(trips: DataFrame) -> DataFrame:
     """Rows before and after cleaning, and how many rows each rule would reject by itself.
 

@@ -42,23 +42,34 @@ def missing_months(requested: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
+def in_month_set(trips: DataFrame, months: Iterable[date]) -> DataFrame:
+    """Trips picked up in any of the months.
+
+    The stored table keeps whole months in partitions: there the partition value decides, other
+    partitions are not opened and the pickup time is not read.
+    """
+    return trips.where(_in_months(trips, months))
+
+
+def _in_months(trips: DataFrame, months: Iterable[date]) -> Column:
+    if MONTH_COLUMN in trips.columns:
+        return F.col(MONTH_COLUMN).isin(list(months))
+    return in_months(F.col("tpep_pickup_datetime"), months)
+
+
 def delete_month_range(trips: DataFrame, months: Iterable[date]) -> DataFrame:
     """Trips outside the months. A NULL pickup lies in no month and stays."""
-    inside = in_months(F.col("tpep_pickup_datetime"), months)
-    return trips.where(~F.coalesce(inside, F.lit(False)))
+    return trips.where(~F.coalesce(_in_months(trips, months), F.lit(False)))
 
 
 def replace_months(trips: DataFrame, incoming: DataFrame, months: Iterable[date]) -> DataFrame:
     """Trips with the given months taken from ``incoming`` instead."""
     months = list(months)
-    fresh = incoming.where(in_months(F.col("tpep_pickup_datetime"), months))
-    return delete_month_range(trips, months).unionByName(fresh)
+    return delete_month_range(trips, months).unionByName(in_month_set(incoming, months))
 
 
 def month_row_count(trips: DataFrame, month: date) -> DataFrame:
-    return trips.where(in_months(F.col("tpep_pickup_datetime"), [month])).agg(
-        F.count(F.lit(1)).alias("month_rows")
-    )
+    return in_month_set(trips, [month]).agg(F.count(F.lit(1)).alias("month_rows"))
 
 
 def target_month(run: Column, lag: int = PUBLICATION_LAG_MONTHS) -> Column:

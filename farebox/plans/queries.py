@@ -62,7 +62,7 @@ def _scan_multi_month(spark: SparkSession, folder: str) -> DataFrame:
 
 def _replace_month(trips: DataFrame) -> DataFrame:
     """March 1998 is loaded again with corrected vendors."""
-    again = C.in_month_set(trips, [ONE_MONTH]).withColumn("vendor_id", F.col("vendor_id") + 10)
+    again = M.in_month_set(trips, [ONE_MONTH]).withColumn("vendor_id", F.col("vendor_id") + 10)
     return M.replace_months(trips, again, [ONE_MONTH])
 
 
@@ -120,7 +120,7 @@ def queries() -> dict[str, Query]:
         "tip_rate": _derived(
             "tip_rate", lambda: scalar.tip_rate(F.col("tip_amount"), F.col("fare_amount"))),
         # Filters
-        "filter_month_set": _raw(lambda t: C.in_month_set(t, FIRST_QUARTER)),
+        "filter_month_set": _raw(lambda t: M.in_month_set(t, FIRST_QUARTER)),
         "filter_amounts": _raw(lambda t: t.where(C.valid_amounts())),
         "filter_passengers": _raw(lambda t: t.where(C.valid_passengers())),
         "filter_duration": _raw(lambda t: t.where(C.valid_duration())),

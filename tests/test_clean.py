@@ -6,7 +6,8 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from farebox.functions.months import months_of_year
-from farebox.operators.clean import clean, cleaning_report, in_month_set
+from farebox.operators.clean import clean, cleaning_report
+from farebox.operators.months import in_month_set
 from farebox.schema import TABLE_COLUMNS, TRIP_SCHEMA
 from farebox.sources.raw import MonthFile, in_own_month
 from pyspark.sql import functions as F

@@ -12,7 +12,7 @@ from farebox.schema import TABLE_SCHEMA, TRIP_SCHEMA
 from farebox.sources.ledger import RunLedger
 from farebox.sources.raw import find_months, read_months
 from farebox.sources.tables import TripTable, export_csv
-from support import month_file
+from support import explained, month_file
 
 JAN, FEB, MAR = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
 
@@ -187,3 +187,30 @@ def test_union_of_months_is_the_multi_month_scan(spark, raw):
     parts = [read_months(spark, [f]).trips for f in files]
     assert whole.exceptAll(parts[0].unionByName(parts[1])).count() == 0
     assert whole.count() == sum(p.count() for p in parts)
+
+
+def test_checks_on_the_table_read_little(spark, raw, store):
+    from farebox.operators import months, quality
+
+    jobs.backfill(spark, raw, store, "2024-01", "2024-02")
+    trips = TripTable(spark, store.table).read()
+    assert tuple(quality.quality_gate(trips, FEB).first()) == (20, 0, True)
+
+    count = explained(months.month_row_count(trips, FEB))
+    assert "ReadSchema: struct<>" in count and "(pickup_month" in _line(count, "PartitionFilters")
+    fares = explained(quality.bad_fares(trips))
+    assert "Or(LessThanOrEqual(fare_amount,0.0),GreaterThan(fare_amount,1000.0))" in fares
+    assert "GreaterThanOrEqual(loaded_at" in explained(
+        quality.freshness(trips, as_of=datetime(2024, 1, 1)))
+    hourly = _line(explained(views.hourly_stats(trips)), "ReadSchema")
+    assert "datetime" not in hourly and "tip_amount" not in hourly
+
+    kept = months.delete_month_range(trips, [JAN])
+    assert "(pickup_month" in _line(explained(kept), "PartitionFilters") and kept.count() == 20
+    fresh = trips.where(F.col("pickup_month") == F.lit(JAN)).withColumn("vendor_id", F.lit(9))
+    replaced = months.replace_months(trips, fresh, [JAN])
+    assert replaced.where("vendor_id = 9").count() == 10 and replaced.count() == 30
+
+
+def _line(plan, start):
+    return next(line for line in plan.splitlines() if line.startswith(start))
