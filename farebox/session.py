@@ -10,6 +10,10 @@ SETTINGS = {
     # Naive timestamps are handled as they are; UTC keeps every day 24 hours long.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Upper bounds for large input; small input is still divided among the cores. A load writes
+    # one file per read split, a rebalanced one per advisory size, so both set the file size.
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # A load task rarely sees more than a couple of months, so it can keep one open file for
     # each and skip the per-task sort Spark would otherwise add before a partitioned write.
     "spark.sql.maxConcurrentOutputFileWriters": "32",

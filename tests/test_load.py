@@ -214,3 +214,32 @@ def test_checks_on_the_table_read_little(spark, raw, store):
 
 def _line(plan, start):
     return next(line for line in plan.splitlines() if line.startswith(start))
+
+
+def test_hot_month_is_split(spark, folder):
+    """Most rows in one month: rebalancing cuts it into several files."""
+    trips = inputs.trips(spark, "/root/testdata/sf0.01")
+    hot = F.make_timestamp_ntz(*[F.lit(n) for n in (1998, 3, 5, 10, 0, 0)])
+    skewed = trips.withColumn("hot", F.col("vendor_id") + F.col("passenger_count") % 3 > 1).withColumns({
+        "tpep_pickup_datetime": F.when(F.col("hot"), hot).otherwise(F.col("tpep_pickup_datetime")),
+        "tpep_dropoff_datetime": F.when(F.col("hot"), hot + F.expr("INTERVAL '600' SECOND"))
+        .otherwise(F.col("tpep_dropoff_datetime")),
+    }).drop("hot")
+    cleaned = clean(skewed.repartition(16))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "400k")
+    try:
+        table = TripTable(spark, f"{folder}/t").create()
+        written = table.replace_months(cleaned, layout="rebalance")
+    finally:
+        spark.conf.set(key, before)
+    files = (
+        table.read().groupBy("pickup_month", F.input_file_name().alias("file")).count()
+        .groupBy("pickup_month").agg(F.count("*").alias("files"), F.sum("count").alias("rows"))
+        .orderBy(F.desc("rows")).collect()
+    )
+    assert sum(f.rows for f in files) == written
+    assert files[0].rows > written / 2 and files[0].files > 2
+    # Months that share a shuffle partition with the hot one are cut along with it.
+    assert sum(f.files == 1 for f in files[1:]) > len(files) / 2
