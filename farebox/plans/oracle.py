@@ -113,11 +113,11 @@ fresh AS (
   FROM {table} WHERE {column} >= (SELECT max({column}) FROM {table}) - INTERVAL 48 HOUR
 )"""
 
+_NULL_SHARE = "100.0 * COUNT(*) FILTER (WHERE fare_amount IS NULL) / NULLIF(COUNT(*), 0)"
 _NULL_RATE = f"""
 null_rate AS (
   SELECT 'null_fare_percent' AS check_name, v AS value, v < 1 AS passed FROM (
-    SELECT coalesce({_round("100.0 * COUNT(*) FILTER (WHERE fare_amount IS NULL) / NULLIF(COUNT(*), 0)", 2)}, 0) AS v
-    FROM raw)
+    SELECT coalesce({_round(_NULL_SHARE, 2)}, 0) AS v FROM raw)
 )"""
 
 _AVG_FARE = f"""

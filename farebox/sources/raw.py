@@ -8,7 +8,6 @@ grows with the number of distinct schemas, not with the number of months.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -126,24 +125,43 @@ def _needed(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(c, types[c]) for c in RAW_COLUMNS])
 
 
-def _schemas(spark: SparkSession, month: MonthFile) -> list[tuple[MonthFile, T.StructType]]:
-    """Schema of a month; of each of its part files where they disagree on a type."""
+def _schema(spark: SparkSession, file: MonthFile) -> T.StructType | None:
+    """Schema of a month, or None where its part files disagree on a type.
+
+    Spark reads the footers of a directory in a job of its own.
+    """
     try:
-        # Spark reads the footers of a directory in a job of its own.
-        return [(month, spark.read.option("mergeSchema", True).parquet(month.path).schema)]
+        return spark.read.option("mergeSchema", True).parquet(file.path).schema
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
-        parts = [MonthFile(month.month, *row) for row in _listing(spark, month.path).collect()]
-        return [(part, spark.read.parquet(part.path).schema) for part in parts]
+        return None
+
+
+def _with_schemas(
+    spark: SparkSession, files: Sequence[MonthFile]
+) -> list[tuple[MonthFile, T.StructType]]:
+    """Each month with its schema; a month whose parts disagree appears part by part."""
+
+    def read(some: Sequence[MonthFile]):
+        return list(zip(some, pool.map(lambda f: _schema(spark, f), some)))
+
+    with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
+        found = read(files)
+        mixed = [file for file, schema in found if schema is None]
+        parts = [
+            MonthFile(file.month, row.path, file.uri)
+            for file in mixed for row in _listing(spark, file.path).collect()
+        ]
+        return [pair for pair in found if pair[1] is not None] + read(parts)
 
 
 def in_own_month(pickup: Column, uri: Column, files: Sequence[MonthFile]) -> Column:
     """Whether a row was picked up in the month its file is named after.
 
-    ``files`` holds each month once. The month of the row picks the path it must have come from:
-    an array access and a comparison of bytes. Cutting the month out of the path for every row
-    costs several times as much.
+    ``files`` gives each month one ``uri``. The month of the row picks the path it must have come
+    from: an array access and a comparison of bytes. Cutting the month out of the path for every
+    row costs several times as much.
     """
     number = {f.month.year * 12 + f.month.month: f.uri for f in files}
     first = min(number)
@@ -164,12 +182,10 @@ def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
     """Scan month files that may differ in schema; foreign-month rows are dropped."""
     accepted: list[MonthFile] = []
     rejected: list[Rejected] = []
-    # Scans: by schema, and by turn where a month has several files.
+    # One scan per schema; another one where a month is found in a second place.
     groups: dict[tuple[str, int], tuple[T.StructType, list[MonthFile]]] = {}
-    turns: Counter = Counter()
-    with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
-        found = list(pool.map(lambda f: _schemas(spark, f), files))
-    for file, schema in (pair for month in found for pair in month):
+    places: dict[tuple[str, date], list[str]] = {}
+    for file, schema in _with_schemas(spark, files):
         missing = missing_columns(schema)
         if missing:
             rejected.append(Rejected(file, missing))
@@ -177,9 +193,10 @@ def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
         accepted.append(file)
         needed = _needed(schema)
         key = needed.json()
-        turn = turns[key, file.month]
-        turns[key, file.month] += 1
-        groups.setdefault((key, turn), (needed, []))[1].append(file)
+        known = places.setdefault((key, file.month), [])
+        if file.uri not in known:
+            known.append(file.uri)
+        groups.setdefault((key, known.index(file.uri)), (needed, []))[1].append(file)
 
     pickup = F.col("tpep_pickup_datetime")
     branches = []

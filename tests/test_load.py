@@ -243,3 +243,16 @@ def test_hot_month_is_split(spark, folder):
     assert files[0].rows > written / 2 and files[0].files > 2
     # Months that share a shuffle partition with the hot one are cut along with it.
     assert sum(f.files == 1 for f in files[1:]) > len(files) / 2
+
+
+def test_sql_views_prune(spark, raw, store):
+    """A month asked of a view reaches the partitions, an hour reaches the scan."""
+    jobs.backfill(spark, raw, store, "2024-01", "2024-02")
+    views.register_views(spark, TripTable(spark, store.table).read())
+    month = spark.sql("SELECT * FROM v_hourly_stats WHERE month = TIMESTAMP_NTZ'2024-02-01 00:00:00'")
+    assert "= 2024-02-01)" in _line(explained(month), "PartitionFilters")
+    assert [r.trip_count for r in month.collect()] == [20]
+    hour = spark.sql("SELECT avg_fare FROM v_hourly_stats WHERE pickup_hour = 8")
+    assert "EqualTo(pickup_hour,8)" in explained(hour)
+    assert _line(explained(hour), "ReadSchema") == (
+        "ReadSchema: struct<fare_amount:double,pickup_hour:int,pickup_weekday:string>")

@@ -38,9 +38,13 @@ def test_mixed_schemas_are_read_together(spark, folder):
 
 def test_one_month_with_two_schemas(spark, folder):
     month_file(folder, date(2024, 1, 1), rows=10, variant="A", part="a")
-    month_file(folder, date(2024, 1, 1), rows=20, variant="B", part="b")
-    raw = read_months(spark, find_months(spark, folder))
-    assert raw.trips.count() == 30
+    for part in "bcd":
+        month_file(folder, date(2024, 1, 1), rows=20, variant="B", part=part)
+    month_file(folder, date(2024, 2, 1), rows=5, variant="B", strays=[datetime(2024, 1, 9)])
+    raw = read_months(spark, find_months(spark, folder, [date(2024, 1, 1)]))
+    assert raw.trips.count() == 70
+    assert explained(raw.trips).count(") Scan parquet") == 2
+    assert read_months(spark, find_months(spark, folder)).trips.count() == 75
     assert {f.month for f in raw.accepted} == {date(2024, 1, 1)}
 
 
