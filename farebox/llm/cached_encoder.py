@@ -50,24 +50,20 @@ _WIDE_FIRST = np.isin(np.arange(256), [c[0] for c in _WIDE_SPACE])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
-class CachedEncoder:
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+class ChunkCache:
+    """Ids of texts put together from the ids of their distinct chunks.
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Where case and white space leave no trace, chunks that differ in them are one.
-        plain = self._library([chr(c) for c in range(97, 123)])
-        self.folds = plain == self._library([chr(c) for c in range(65, 91)]) == self._library(
-            [f" \n{chr(c)} " for c in range(97, 123)])
-        self._forget()
+    A subclass says where a text may be cut and how chunks are encoded.
+    """
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where chunks begin, and the bytes to encode; starts of texts are added by the caller."""
+        raise NotImplementedError
 
-    def _forget(self) -> None:
+    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 12, np.int64)
@@ -75,7 +71,7 @@ class CachedEncoder:
         self.used = 0
 
     def _learn(self, chunks: list[bytes]) -> None:
-        encoded = self._library([c.decode("utf-8", "replace") for c in chunks])
+        encoded = self.encode_chunks([c.decode("utf-8", "replace") for c in chunks])
         first, last = len(self.known), len(self.known) + len(chunks)
         self.known.update(zip(chunks, range(first, last)))
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
@@ -90,6 +86,47 @@ class CachedEncoder:
         self.lengths[first:last] = lengths
         self.used += len(ids)
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's ids start and the last one's end."""
+        data, offsets = text_bytes(texts)
+        if len(data) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        cut, data = self.cuts(data, offsets)
+        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+        starts = np.flatnonzero(cut)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)),
+            pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        missing = [c for c in distinct if c not in self.known]
+        if missing:
+            self._learn(missing)
+        slots = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        slots = slots[chunks.indices.to_numpy(zero_copy_only=False)]
+        lengths = self.lengths[slots]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.flat[gather(self.starts[slots], lengths)]
+        return ids, before[np.searchsorted(starts, offsets)]
+
+class CachedEncoder(ChunkCache):
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Where case and white space leave no trace, chunks that differ in them are one.
+        plain = self.encode_chunks([chr(c) for c in range(97, 123)])
+        self.folds = plain == self.encode_chunks([chr(c) for c in range(65, 91)]) == self.encode_chunks(
+            [f" \n{chr(c)} " for c in range(97, 123)])
+        self.forget()
+
+    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def _unsafe(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Which texts must not be cut."""
         bad = np.zeros(len(offsets) - 1, bool)
@@ -103,11 +140,7 @@ class CachedEncoder:
                 at = raw.find(needle, int(offsets[text + 1]))
         return bad
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's ids start and the last one's end."""
-        data, offsets = text_bytes(texts)
-        if len(data) == 0:
-            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         unsafe = np.flatnonzero(self._unsafe(data, offsets))
         kinds = _KINDS[data]
         cut = np.empty(len(data), bool)
@@ -119,23 +152,7 @@ class CachedEncoder:
             cut[span] = False
             if self.folds:
                 folded[span] = data[span]
-        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-        starts = np.flatnonzero(cut)
-        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [
-            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)),
-            pa.py_buffer(np.ascontiguousarray(folded))]).dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        missing = [c for c in distinct if c not in self.known]
-        if missing:
-            self._learn(missing)
-        slots = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        slots = slots[chunks.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.lengths[slots]
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[gather(self.starts[slots], lengths)]
-        return ids, before[np.searchsorted(starts, offsets)]
+        return cut, folded
 
 
 @functools.lru_cache(maxsize=4)

@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import exact_dedup, packing, token_files
+from . import exact_dedup, multiset_hash, packing, piece_codec, quality, token_counts, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORDS = "word_bpe_49k.json"
 BYTES = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,10 +25,27 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.read(spark, path))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset_hash.edited_pairs(table(spark, folder, "documents"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(BYTES), end_id=2)
 
 
+def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_codec.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
@@ -35,7 +53,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_quality": op2_quality,
+        "op3_fingerprints": op3_fingerprints,
         "op4_packing": op4_packing,
+        "op5_piece_codec": op5_piece_codec,
+        "op6_token_counts": op6_token_counts,
         "op7_exact_dedup": op7_exact_dedup,
     }
 
