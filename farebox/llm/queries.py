@@ -9,13 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import exact_dedup, multiset_hash, packing, piece_codec, quality, token_counts, token_files
+from . import exact_dedup, multiset_hash, near_dedup, packing, piece_codec, quality, surrogates, token_counts
+from . import token_files, url_templates
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORDS = "word_bpe_49k.json"
 BYTES = "byte_bpe_50k.json"
+# Of the test tables; a real corpus takes its key from where its secrets are kept.
+SURROGATE_KEY = "key of the test corpus"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -50,6 +53,18 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+def op8_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.replaced(table(spark, folder, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+def op9_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.filter_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -59,6 +74,9 @@ def queries() -> dict[str, Query]:
         "op5_piece_codec": op5_piece_codec,
         "op6_token_counts": op6_token_counts,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_surrogates": op8_surrogates,
+        "op9_url_templates": op9_url_templates,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
