@@ -108,8 +108,10 @@ def _pick(words: str, number: Column) -> Column:
 def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     """The canonical form of the surrogate for a canonical form."""
     seed = F.concat_ws("/", F.lit(key), kind, plain, attempt.cast("string"))
-    digits = F.concat(F.when(kind == "card", F.substring(plain, 1, 1)).otherwise(F.lit("")),
-                      _disguised(F.when(kind == "card", F.expr("substring(canonical, 2)")).otherwise(plain), seed))
+    # A card keeps its first digit, a full phone number that of its country.
+    keeps = (kind == "card") | ((kind == "phone") & (F.length(plain) > 10))
+    digits = F.when(keeps, F.concat(F.substring(plain, 1, 1), _disguised(F.expr("substring(canonical, 2)"), seed))
+                    ).otherwise(_disguised(plain, seed))
     octets = F.array_join(F.transform(
         F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(F.sha2(seed, 256), i) % 254 + 1).cast("string")), ".")
     at, dot = F.instr(plain, "@"), F.length(F.substring_index(plain, ".", -1)) + 1
