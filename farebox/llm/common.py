@@ -14,6 +14,8 @@ from ..session import shared_dir
 
 # A worker handles at most this many bytes of text at once; one longer text is a batch of its own.
 SLICE_BYTES = 8 << 20
+# The same where numbers are kept for each byte.
+HASHED_BYTES = 2 << 20
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:

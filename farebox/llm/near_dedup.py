@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bagminhash import band_keys, shingles, signatures, weighted_jaccard
-from .common import filled, slices, staged
+from .common import HASHED_BYTES, filled, slices, staged
 from .components import Sets, components
 
 BANDS, BAND_PLACES = 50, 8
@@ -44,7 +44,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[str] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 shas = part.column("sha").to_pylist()
                 new = [k for k, sha in enumerate(shas) if not (sha in met or met.add(sha))]
                 texts = filled(part.column("text").take(pa.array(new, pa.int64())))
@@ -65,8 +65,8 @@ def _similar(pairs: DataFrame) -> DataFrame:
     """Of pairs of nodes with their texts, those whose multisets overlap enough."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for half in slices(batch, "text_a"):
-                for part in slices(half, "text_b"):
+            for half in slices(batch, "text_a", HASHED_BYTES):
+                for part in slices(half, "text_b", HASHED_BYTES):
                     sides = []
                     for name in ("text_a", "text_b"):
                         row, value, count = shingles(filled(part.column(name)))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import filled, mix, slices, span_hashes, text_bytes
+from .common import HASHED_BYTES, filled, mix, slices, span_hashes, text_bytes
 
 DIMENSIONS_BITS = 18
 DIMENSIONS = 1 << DIMENSIONS_BITS
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, DIMENSIONS), np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 row, place = features(filled(part.column("text")))
                 label = part.column("label").to_numpy()[row]
                 for value in (0, 1):
@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 row, place = features(filled(part.column("text")))
                 bounds = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 places = pa.ListArray.from_arrays(pa.array(bounds), pa.array(place.astype(np.int32)))
@@ -211,7 +211,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 scores = shared.value.scores(filled(part.column("text")))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("held_out"), pa.array(scores),
@@ -230,7 +230,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=HASHED_BYTES):
                 yield part.filter(pa.array(shared.value.scores(filled(part.column("text"))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
