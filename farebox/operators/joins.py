@@ -1,8 +1,7 @@
 """Relationships between the hourly view and the coarser views.
 
 Only already aggregated rows take part: at most 168 a month on the left. The right sides are
-broadcast by adaptive execution once their real size is known; only the weekday view, which cannot
-have more rows than there are days in a week, carries a hint.
+broadcast by adaptive execution once their real size is known.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def hourly_with_month(hourly: DataFrame, monthly: DataFrame) -> DataFrame:
 
 
 def hourly_with_weekday(hourly: DataFrame, weekday: DataFrame) -> DataFrame:
-    return _related(hourly, F.broadcast(weekday), ["pickup_weekday"], "weekday")
+    return _related(hourly, weekday, ["pickup_weekday"], "weekday")
 
 
 def hourly_with_month_by_count(hourly: DataFrame, monthly: DataFrame) -> DataFrame:
@@ -37,4 +36,4 @@ def hourly_with_month_by_count(hourly: DataFrame, monthly: DataFrame) -> DataFra
 
 def hourly_with_weekday_by_count(hourly: DataFrame, weekday: DataFrame) -> DataFrame:
     """The dashboard's stored key: equal trip count."""
-    return _related(hourly, F.broadcast(weekday), ["trip_count"], "weekday")
+    return _related(hourly, weekday, ["trip_count"], "weekday")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.months import month_span, months_of_year, target_month
@@ -15,10 +16,9 @@ from ..operators.clean import clean
 from ..operators.quality import require_quality
 from ..operators.summary import trip_summary
 from ..schema import MONTH_COLUMN, PUBLICATION_LAG_MONTHS
-from ..session import pin_utc
 from ..sources.ledger import RunLedger
 from ..sources.raw import Rejected, find_months, read_months
-from ..sources.tables import TripTable, replace_partitions
+from ..sources.tables import Layout, TripTable, replace_partitions
 
 
 @dataclass(frozen=True)
@@ -32,41 +32,68 @@ class Store:
 
 @dataclass
 class LoadResult:
+    """What a load did; ``raw`` counts the rows of the files, ``nulled`` values lost to a cast."""
+
     rows: dict[date, int] = field(default_factory=dict)
     missing: list[date] = field(default_factory=list)
     rejected: list[Rejected] = field(default_factory=list)
+    raw: dict[date, int] = field(default_factory=dict)
+    nulled: dict[str, int] = field(default_factory=dict)
+    summary_error: str | None = None
     seconds: float = 0.0
 
     @property
     def total(self) -> int:
         return sum(self.rows.values())
 
+    @property
+    def dropped(self) -> dict[date, int]:
+        """Rows per month that the rules turned away."""
+        return {month: self.raw[month] - n for month, n in self.rows.items()}
+
+    def outcomes(self) -> dict[date, tuple[str, int | None, str | None]]:
+        """Status, rows and reason of every requested month."""
+        found: dict[date, tuple[str, int | None, str | None]] = {
+            m: ("missing", None, "no file") for m in self.missing}
+        for entry in self.rejected:
+            found.setdefault(entry.file.month, ("rejected", None, f"{entry.file.path} {entry.reason}"))
+        for month, rows in self.rows.items():
+            found[month] = ("success", rows, None) if rows else ("empty", 0, "no valid row")
+        return found
+
 
 def load_months(
-    spark: SparkSession, raw_dir: str, store: Store, months: Iterable[date], layout: str = "as_read"
+    spark: SparkSession, raw_dir: str, store: Store, months: Iterable[date], layout: Layout = Layout()
 ) -> LoadResult:
     """Clean the months and put them in place of what the table holds for them.
 
-    Months without a file, or whose file lacks a column, keep their old rows and are reported. A
-    failed load leaves the table as it was and is written to the ledger.
+    Months without a file, with a part that lacks a column or cannot be read, or without a valid row
+    keep their old rows. A failed load leaves the table as it was. The ledger gets a row for every
+    month, with what came of it. The stored summary is brought up to date afterwards; if that fails,
+    the load stands, the ledger says so, and readers take those months from the trips.
     """
-    pin_utc(spark)
     months = sorted(set(months))
     table, ledger = TripTable(spark, store.table), RunLedger(spark, store.ledger)
     started = time.monotonic()
     try:
-        result = _load(spark, raw_dir, store, table, months, layout)
+        result = _load(spark, raw_dir, table, months, layout)
     except Exception as error:
-        ledger.record_failure(months, str(error))
+        ledger.record({m: ("failed", None, str(error)) for m in months})
         raise
     result.seconds = round(time.monotonic() - started, 1)
-    ledger.record_success(result.rows, result.seconds)
+    ledger.record(result.outcomes(), result.seconds)
+    loaded = [m for m, n in result.rows.items() if n]
+    if store.summary and loaded:
+        try:
+            refresh_summary(table, store.summary, loaded)
+        except Exception as error:
+            result.summary_error = str(error)
+            ledger.record({m: ("summary_failed", None, str(error)) for m in loaded})
     return result
 
 
 def _load(
-    spark: SparkSession, raw_dir: str, store: Store, table: TripTable, months: Sequence[date],
-    layout: str,
+    spark: SparkSession, raw_dir: str, table: TripTable, months: Sequence[date], layout: Layout
 ) -> LoadResult:
     files = find_months(spark, raw_dir, months)
     found = {f.month for f in files}
@@ -74,18 +101,18 @@ def _load(
     if not files:
         return result
     raw = read_months(spark, files)
-    result.rejected = raw.rejected
+    result.rejected, result.raw = raw.rejected, raw.raw_rows
     accepted = sorted({f.month for f in raw.accepted})
     if not accepted:
         return result
 
     stamp = utc_now()
-    written = table.replace_months(clean(raw.trips), loaded_at=stamp, layout=layout)
+    result.nulled = raw.misfit_counts()
+    written = table.replace_months(clean(raw.trips), loaded_at=stamp, **asdict(layout))
     result.rows = dict.fromkeys(accepted, 0) | _loaded_rows(table, accepted, stamp)
     if result.total != written:
-        raise RuntimeError(f"wrote {written} rows but the table holds {result.total} of them")
-    if store.summary:
-        refresh_summary(table, store.summary, accepted)
+        raise RuntimeError(
+            f"months were replaced, but of {written} rows written the table holds {result.total}")
     return result
 
 
@@ -102,30 +129,64 @@ def refresh_summary(table: TripTable, path: str, months: Iterable[date]) -> None
     replace_partitions(summary, path, MONTH_COLUMN)
 
 
-def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn(MONTH_COLUMN, F.col(MONTH_COLUMN).cast("date"))
+def read_summary(table: TripTable, path: str) -> DataFrame:
+    """The stored summary; months whose number of trips it has not got are taken from the trips.
+
+    Both sides of that comparison are one short row a month, the table's from file footers.
+    """
+    try:
+        stored = table.spark.read.parquet(path).withColumn(MONTH_COLUMN, F.col(MONTH_COLUMN).cast("date"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return trip_summary(table.read())
+    kept = stored.groupBy(MONTH_COLUMN).agg(F.sum("trip_count").alias("kept"))
+    both = kept.join(table.month_counts(), MONTH_COLUMN, "full").where(
+        ~F.col("kept").eqNullSafe(F.col("trip_count")))
+    stale = [row[MONTH_COLUMN] for row in both.select(MONTH_COLUMN).collect()]
+    if not stale:
+        return stored
+    current = stored.where(~F.col(MONTH_COLUMN).isin(stale))
+    return current.unionByName(trip_summary(table.read(stale)))
 
 
 def monthly_load(
-    spark: SparkSession, raw_dir: str, store: Store, year: int = 2024, months: int | str = 1
+    spark: SparkSession, raw_dir: str, store: Store, year: int, months: int | str,
+    layout: Layout = Layout(),
 ) -> LoadResult:
-    return load_months(spark, raw_dir, store, months_of_year(year, months))
+    return load_months(spark, raw_dir, store, months_of_year(year, months), layout)
 
 
 def backfill(
-    spark: SparkSession, raw_dir: str, store: Store, first: str = "2024-01", last: str | None = None
+    spark: SparkSession, raw_dir: str, store: Store, first: str, last: str | None = None,
+    layout: Layout = Layout(),
 ) -> LoadResult:
     """All months from ``first`` to ``last`` (this month unless given) that have a file."""
-    return load_months(spark, raw_dir, store, month_span(first, last or f"{date.today():%Y-%m}"))
+    span = month_span(first, last or f"{date.today():%Y-%m}")
+    return load_months(spark, raw_dir, store, span, layout)
+
+
+def delete_months(spark: SparkSession, store: Store, months: Iterable[date]) -> list[date]:
+    """Remove months from the table; a stored summary no longer counts for them."""
+    return TripTable(spark, store.table).delete_months(months)
 
 
 def scheduled_load(
     spark: SparkSession, raw_dir: str, store: Store, run: date | None = None,
-    lag: int = PUBLICATION_LAG_MONTHS,
+    lag: int = PUBLICATION_LAG_MONTHS, layout: Layout = Layout(),
 ) -> LoadResult:
-    """Load the month due at ``run`` and hold it to the quality gate; skip it if not there yet."""
+    """Load the month due at ``run`` and hold it to the quality gate; skip it if not there yet.
+
+    Rows of an earlier load do not stand in for the due one: a rejected or empty file is an error.
+    """
     month = target_month(run or date.today(), lag)
-    result = load_months(spark, raw_dir, store, [month])
-    if not result.missing:
-        require_quality(TripTable(spark, store.table).read(), month)
+    result = load_months(spark, raw_dir, store, [month], layout)
+    status, _, reason = result.outcomes()[month]
+    if status == "missing":
+        return result
+    if status == "empty":
+        raise ValueError(f"{month:%Y-%m} has no rows: its file holds no valid one")
+    if status != "success":
+        raise ValueError(f"{month:%Y-%m} was {status}: {reason}")
+    require_quality(TripTable(spark, store.table).read(), month)
     return result

@@ -193,6 +193,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_multi_month": f"{_R} SELECT {_COLUMNS} FROM raw",
         "raw_row_count": "SELECT COUNT(*) AS raw_rows FROM lineitem",
         "arrow_partition_counts": f"{_C} SELECT COUNT(*) AS rows FROM clean",
+        "schema_gate": f"""{_R} SELECT date_trunc('month', tpep_pickup_datetime) AS month,
+            COUNT(*) AS trip_count, CAST(SUM(vendor_id) AS BIGINT) AS vendors,
+            COUNT(passenger_count) AS passenger_counts FROM raw GROUP BY 1""",
         "delete_month_range": f"""{_C} SELECT {_CLEAN_COLUMNS} FROM clean
             WHERE NOT (tpep_pickup_datetime >= TIMESTAMP '1997-01-01'
                        AND tpep_pickup_datetime < TIMESTAMP '1997-07-01')""",

@@ -34,13 +34,6 @@ def build_session(
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Make elapsed-time arithmetic on naive timestamps independent of the caller's zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder, which every executor must reach.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import csv, fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 #: Takes the batches of one partition and returns how many rows it wrote.
@@ -15,6 +17,32 @@ def count_rows(batches: Iterator[pa.RecordBatch]) -> int:
     return sum(batch.num_rows for batch in batches)
 
 
+def csv_writer(folder: str) -> BatchWriter:
+    """Writes each partition to one headed CSV file in a folder that all executors reach.
+
+    The file is named after the partition and appears under that name only when it is complete, so
+    a task that runs again puts the same file in its place.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> int:
+        context = TaskContext.get()
+        system, base = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+        system.create_dir(base)
+        name = f"{base}/part-{context.partitionId():05d}.csv"
+        unfinished = f"{name}.{context.taskAttemptId()}"
+        rows, writer = 0, None
+        with system.open_output_stream(unfinished) as sink:
+            for batch in batches:
+                writer = writer or csv.CSVWriter(sink, batch.schema)
+                writer.write_batch(batch)
+                rows += batch.num_rows
+            if writer:
+                writer.close()
+        system.move(unfinished, name)
+        return rows
+
+    return write
+
+
 def write_partitions(frame: DataFrame, writer: BatchWriter = count_rows) -> DataFrame:
     """One ``rows`` value per partition.
 

@@ -1,4 +1,4 @@
-"""The run ledger: one appended row per month and load, for success and failure alike."""
+"""The run ledger: one appended row per requested month and load, whatever came of it."""
 
 from __future__ import annotations
 
@@ -25,13 +25,20 @@ class RunLedger:
                 raise
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def record_success(
-        self, rows: dict[date, int], duration_sec: float, at: datetime | None = None
+    def record(
+        self, outcomes: dict[date, tuple[str, int | None, str | None]], duration_sec: float | None = None,
+        at: datetime | None = None,
     ) -> None:
-        self._append([(m, n, "success", None, duration_sec) for m, n in rows.items()], at)
-
-    def record_failure(self, months: list[date], error: str, at: datetime | None = None) -> None:
-        self._append([(m, None, "failed", error, None) for m in months], at)
+        """One row per month: its status, rows and reason.
+
+        The time of a load of several months is divided among those it loaded, so sums over the
+        ledger are times that passed.
+        """
+        loaded = sum(status == "success" for status, _, _ in outcomes.values())
+        share = duration_sec / loaded if duration_sec is not None and loaded else None
+        self._append([
+            (m, rows, status, reason, share if status == "success" else None)
+            for m, (status, rows, reason) in sorted(outcomes.items())], at)
 
     def _append(self, entries: list[tuple], at: datetime | None) -> None:
         if not entries:

@@ -9,22 +9,22 @@ grows with the number of distinct schemas, not with the number of months.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.months import month_bounds
 from ..schema import RAW_COLUMNS, TRIP_SCHEMA
 
 #: Finds the month in a path; the part before it is the month's own file or directory.
-MONTH_IN_PATH = r"^(.*?(\d{4}-\d{2})\.parquet)(?:/|$)"
+MONTH_IN_PATH = r"^(.*?(\d{4}-(?:0[1-9]|1[0-2]))\.parquet)(?:/|$)"
 
-_SCHEMA_READERS = 8
+# Tasks that read footers.
+_FOOTER_TASKS = 64
 
 
 @dataclass(frozen=True, order=True)
@@ -38,8 +38,15 @@ class MonthFile:
 
 @dataclass(frozen=True)
 class Rejected:
+    """A part file that keeps its month from being loaded."""
+
     file: MonthFile
     missing: tuple[str, ...]
+    error: str | None = None
+
+    @property
+    def reason(self) -> str:
+        return f"cannot be read: {self.error}" if self.error else f"lacks {', '.join(self.missing)}"
 
 
 @dataclass
@@ -49,10 +56,24 @@ class RawMonths:
     trips: DataFrame
     accepted: list[MonthFile]
     rejected: list[Rejected]
+    raw_rows: dict[date, int] = field(default_factory=dict)
+    casts: list[DataFrame] = field(default_factory=list)
+
+    def misfit_counts(self) -> dict[str, int]:
+        """Values per column that did not fit its type and became NULL.
+
+        Only columns whose type may not fit are read; where all types do, nothing is.
+        """
+        counts: dict[str, int] = {}
+        for frame in self.casts:
+            for name, n in frame.first().asDict().items():
+                counts[name] = counts.get(name, 0) + n
+        return {name: n for name, n in counts.items() if n}
 
     def gate_report(self) -> DataFrame:
         rows = [(f.month, f.path, True, None) for f in self.accepted]
-        rows += [(r.file.month, r.file.path, False, ", ".join(r.missing)) for r in self.rejected]
+        rows += [
+            (r.file.month, r.file.path, False, ", ".join(r.missing) or r.error) for r in self.rejected]
         return self.trips.sparkSession.createDataFrame(
             rows, "month date, path string, accepted boolean, missing_columns string"
         )
@@ -63,11 +84,12 @@ def path_month(path: Column) -> Column:
     return F.to_date(F.concat(F.regexp_extract(path, MONTH_IN_PATH, 2), F.lit("-01")))
 
 
-def _listing(spark: SparkSession, root: str) -> DataFrame:
+def _listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Parquet files under ``root``.
 
     The binary-file source lists on any file system Spark can read, and reads no file content as
-    long as none is asked for.
+    long as none is asked for. A filter on ``uri`` is answered from the listing, before tasks are
+    made.
     """
     return (
         spark.read.format("binaryFile")
@@ -78,11 +100,17 @@ def _listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def listed_months(spark: SparkSession, root: str) -> DataFrame:
-    """``(month, path, uri)``, one row per month found under ``root``."""
+def listed_months(
+    spark: SparkSession, root: str, months: Iterable[date] | None = None
+) -> DataFrame:
+    """``(month, path, uri)``, one row per month found under ``root``, all or the wanted ones."""
+    listing = _listing(spark, root)
+    if months is not None:
+        names = "|".join(sorted(f"{m:%Y-%m}" for m in set(months))) or "(?!)"
+        listing = listing.where(F.col("uri").rlike(rf"(?:{names})\.parquet(?:/|$)"))
     return (
-        _listing(spark, root)
-        .where(F.col("path").rlike(MONTH_IN_PATH))
+        listing
+        .where(F.col("uri").rlike(MONTH_IN_PATH))
         .select(path_month(F.col("path")).alias("month"),
                 *[F.regexp_extract(c, MONTH_IN_PATH, 1).alias(c) for c in ("path", "uri")])
         .distinct()
@@ -93,67 +121,110 @@ def find_months(
     spark: SparkSession, root: str, months: Iterable[date] | None = None
 ) -> list[MonthFile]:
     """Month files under ``root``, all or only the wanted ones, in month order."""
-    found = listed_months(spark, root)
+    months = None if months is None else list(months)
+    found = listed_months(spark, root, months)
     if months is not None:
-        found = found.where(F.col("month").isin(list(months)))
+        found = found.where(F.col("month").isin(months))
     return sorted(MonthFile(*row) for row in found.collect())
 
 
 def normalise(raw: DataFrame, *extra: Column) -> DataFrame:
     """The eight needed columns under their lower-case names and fixed types, plus ``extra``.
 
-    A value that does not fit its type becomes NULL, so one bad cell cannot stop a load.
+    A value that does not fit its type becomes NULL, so one bad cell cannot stop a load; ``misfits``
+    counts them. Times with a zone are taken in UTC, whatever the session's zone is.
     """
     types = {f.name.lower(): f.dataType for f in raw.schema}
     columns = []
     for source, target in zip(RAW_COLUMNS, TRIP_SCHEMA):
         column = F.col(source)
         # A column that already has its type stays bare: its filters then reach the scan.
-        if types[source] != target.dataType:
+        if types[source] == T.TimestampType():
+            column = _in_utc(column)
+        elif types[source] != target.dataType:
             column = column.try_cast(target.dataType)
         columns.append(column.alias(target.name))
     return raw.select(*columns, *extra)
 
 
-def missing_columns(schema: T.StructType) -> tuple[str, ...]:
-    present = {name.lower() for name in schema.names}
-    return tuple(c for c in RAW_COLUMNS if c not in present)
+def _in_utc(column: Column) -> Column:
+    seconds = F.unix_micros(column).cast("decimal(20,0)") / 1_000_000
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def _needed(schema: T.StructType) -> T.StructType:
-    types = {f.name.lower(): f.dataType for f in schema}
-    return T.StructType([T.StructField(c, types[c]) for c in RAW_COLUMNS])
-
-
-def _schema(spark: SparkSession, file: MonthFile) -> T.StructType | None:
-    """Schema of a month, or None where its part files disagree on a type.
+def misfits(raw: DataFrame) -> DataFrame | None:
+    """How many values of each column do not fit its type; None where every value does."""
+    types = {f.name.lower(): f.dataType for f in raw.schema}
+    whole = (T.ByteType, T.ShortType, T.IntegerType)
+    numbers = (*whole, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    counts = []
+    for source, target in zip(RAW_COLUMNS, TRIP_SCHEMA):
+        kind = types[source]
+        safe = kind in (target.dataType, T.TimestampType()) or (
+            isinstance(kind, numbers if target.dataType == T.DoubleType() else whole))
+        if not safe:
+            column = F.col(source)
+            lost = column.isNotNull() & column.try_cast(target.dataType).isNull()
+            counts.append(F.count_if(lost).alias(target.name))
+    return raw.agg(*counts) if counts else None
 
-    Spark reads the footers of a directory in a job of its own.
-    """
-    try:
-        return spark.read.option("mergeSchema", True).parquet(file.path).schema
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
-            raise
-        return None
 
+def missing_columns(schema: T.StructType) -> tuple[str, ...]:
+    present = {name.lower() for name in schema.names}
+    return tuple(c for c in RAW_COLUMNS if c not in present)
 
-def _with_schemas(
-    spark: SparkSession, files: Sequence[MonthFile]
-) -> list[tuple[MonthFile, T.StructType]]:
-    """Each month with its schema; a month whose parts disagree appears part by part."""
 
-    def read(some: Sequence[MonthFile]):
-        return list(zip(some, pool.map(lambda f: _schema(spark, f), some)))
+def _footer(path: str) -> dict:
+    """Rows, missing columns and types of a part file, or why it cannot be read."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    from pyspark.sql.pandas.types import from_arrow_type
 
-    with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
-        found = read(files)
-        mixed = [file for file, schema in found if schema is None]
-        parts = [
-            MonthFile(file.month, row.path, file.uri)
-            for file in mixed for row in _listing(spark, file.path).collect()
-        ]
-        return [pair for pair in found if pair[1] is not None] + read(parts)
+    # Row metadata spell local paths with one slash and escape what a URI must escape.
+    scheme, _, rest = path.partition(":/")
+    local = scheme == "file"
+    found = (fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))) if local else fs.FileSystem.from_uri(path)
+    try:
+        with found[0].open_input_file(found[1]) as source:
+            file = pq.ParquetFile(source)
+            types = {}
+            for name, kind in zip(file.schema_arrow.names, file.schema_arrow.types):
+                if name.lower() in RAW_COLUMNS:
+                    types[name.lower()] = from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
+            for k in range(len(file.schema)):
+                column = file.schema.column(k)
+                if column.physical_type == "INT96" and column.path.lower() in types:
+                    types[column.path.lower()] = "timestamp"
+            missing = [c for c in RAW_COLUMNS if c not in types]
+            ddl = None if missing else ", ".join(f"{c} {types[c]}" for c in RAW_COLUMNS)
+            return {"rows": file.metadata.num_rows, "missing": missing, "ddl": ddl, "error": None}
+    except Exception as error:  # a broken file is reported with its month, it does not stop the others
+        return {"rows": None, "missing": [], "ddl": None, "error": str(error)[:300]}
+
+
+def _footers(spark: SparkSession, root_files: Sequence[MonthFile]) -> list:
+    """One row per month, place and schema, with its rows and parts.
+
+    All footers are read in one job, by the tasks that have the paths; a row names its parts, which
+    become the roots of the scan where the parts of a month differ.
+    """
+    def read(batches):
+        for batch in batches:
+            out = [_footer(uri) for uri in batch.column("uri").to_pylist()]
+            columns = [batch.column(k) for k in range(3)] + [
+                pa.array([o["rows"] for o in out], pa.int64()),
+                pa.array([o["missing"] for o in out], pa.list_(pa.string())),
+                pa.array([o["ddl"] for o in out], pa.string()),
+                pa.array([o["error"] for o in out], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "uri", "root", "rows", "missing", "ddl", "error"])
+
+    listing = _listing(spark, sorted({f.path for f in root_files}))
+    parts = listing.select("path", "uri", F.regexp_extract("uri", MONTH_IN_PATH, 1).alias("root"))
+    read_parts = parts.repartition(_FOOTER_TASKS, "uri").mapInArrow(
+        read, "path string, uri string, root string, rows long, missing array<string>, ddl string, error string")
+    return read_parts.groupBy("root", "ddl", "missing", "error").agg(
+        F.sum("rows").alias("rows"), F.sort_array(F.collect_list("path")).alias("parts")).collect()
 
 
 def in_own_month(pickup: Column, uri: Column, files: Sequence[MonthFile]) -> Column:
@@ -179,33 +250,42 @@ def in_months(pickup: Column, months: Iterable[date]) -> Column:
 
 
 def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
-    """Scan month files that may differ in schema; foreign-month rows are dropped."""
-    accepted: list[MonthFile] = []
-    rejected: list[Rejected] = []
+    """Scan month files that may differ in schema; foreign-month rows are dropped.
+
+    A month is taken whole or not at all: if one of its parts lacks a column or cannot be read, all
+    its parts are turned away, and the report names that part.
+    """
+    month_of = {f.uri: f for f in files}
+    footers = [row for row in _footers(spark, files) if row.root in month_of] if files else []
+    rejected = sorted(
+        (Rejected(MonthFile(month_of[row.root].month, part, row.root), tuple(row.missing), row.error)
+         for row in footers if row.ddl is None for part in row.parts), key=lambda r: r.file)
+    turned_away = {r.file.month for r in rejected}
+    accepted = [f for f in files if f.month not in turned_away]
+
+    schemas: dict[str, int] = {}
+    for row in footers:
+        schemas[row.root] = schemas.get(row.root, 0) + 1
     # One scan per schema; another one where a month is found in a second place.
-    groups: dict[tuple[str, int], tuple[T.StructType, list[MonthFile]]] = {}
+    groups: dict[tuple[str, int], tuple[list[str], list[MonthFile]]] = {}
     places: dict[tuple[str, date], list[str]] = {}
-    for file, schema in _with_schemas(spark, files):
-        missing = missing_columns(schema)
-        if missing:
-            rejected.append(Rejected(file, missing))
+    raw_rows: dict[date, int] = {}
+    for row in sorted(footers, key=lambda r: (r.root, r.ddl or "")):
+        file = month_of[row.root]
+        if file.month in turned_away:
             continue
-        accepted.append(file)
-        needed = _needed(schema)
-        key = needed.json()
-        known = places.setdefault((key, file.month), [])
-        if file.uri not in known:
-            known.append(file.uri)
-        groups.setdefault((key, known.index(file.uri)), (needed, []))[1].append(file)
+        raw_rows[file.month] = raw_rows.get(file.month, 0) + row.rows
+        known = places.setdefault((row.ddl, file.month), [])
+        known.append(row.root)
+        paths, members = groups.setdefault((row.ddl, len(known) - 1), ([], []))
+        paths.extend(row.parts if schemas[row.root] > 1 else [file.path])
+        members.append(file)
 
     pickup = F.col("tpep_pickup_datetime")
-    branches = []
-    for needed, members in groups.values():
-        scan = (
-            spark.read.schema(needed)
-            .option("recursiveFileLookup", True)
-            .parquet(*[m.path for m in members])
-        )
+    branches, lossy = [], []
+    for (ddl, _), (paths, members) in groups.items():
+        scan = spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*paths)
+        lossy.append(misfits(scan))
         trips = normalise(scan, F.col("_metadata.file_path").alias("uri"))
         branches.append(
             trips.where(in_months(pickup, [m.month for m in members]))
@@ -214,7 +294,8 @@ def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
         )
     if not branches:
         branches.append(spark.createDataFrame([], TRIP_SCHEMA))
-    return RawMonths(reduce(DataFrame.unionByName, branches), accepted, rejected)
+    return RawMonths(
+        reduce(DataFrame.unionByName, branches), accepted, rejected, raw_rows, [m for m in lossy if m is not None])
 
 
 def row_count(trips: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
@@ -31,6 +32,15 @@ def replace_partitions(frame: DataFrame, path: str, partition: str, **options) -
         .parquet(path))
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a load writes its files; see ``TripTable.replace_months``."""
+
+    layout: str = "as_read"
+    max_records_per_file: int = 0
+    sort_by_time: bool = False
+
+
 class MissingTable(RuntimeError):
     """The table was never created."""
 
@@ -104,6 +114,21 @@ class TripTable:
         )
         return written.get["rows"]
 
+    def delete_months(self, months: Iterable[date]) -> list[date]:
+        """Remove whole months and return those that were there.
+
+        A month is a folder of its own, so nothing is rewritten; readers that already listed the
+        table may still ask for the files.
+        """
+        held = {row[MONTH_COLUMN] for row in self.read(months).select(MONTH_COLUMN).distinct().collect()}
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for month in sorted(held):
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{MONTH_COLUMN}={month:%Y-%m-%d}")
+            if not folder.getFileSystem(conf).delete(folder, True):
+                raise RuntimeError(f"could not delete {folder}")
+        self.spark.catalog.refreshByPath(self.path)
+        return sorted(held)
+
     def month_counts(self, months: Iterable[date] | None = None) -> DataFrame:
         """Rows per month from the partition value and the file footers."""
         return self.read(months).groupBy(MONTH_COLUMN).agg(F.count(F.lit(1)).alias("trip_count"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import Store, load_months
-from ..session import shared_dir
 from ..sources.raw import MONTH_IN_PATH, path_month
+from ..sources.tables import Layout
 
 _FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -30,26 +32,30 @@ def new_files(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def pick_up_months(
-    spark: SparkSession, raw_dir: str, store: Store, checkpoint: str | None = None
+    spark: SparkSession, raw_dir: str, store: Store, checkpoint: str | None = None,
+    layout: Layout = Layout(),
 ) -> StreamingQuery:
     """Load every month with files not taken before, then stop.
 
     The stream only says which months have news. Such a month is then loaded from all its files,
     so a month whose parts arrive in several batches is still replaced as a whole, and a batch
     that runs twice changes nothing. A file is new by its path: one that is overwritten in place
-    is not taken again.
+    is not taken again. What has been taken is kept beside the trip table, for each raw folder, so
+    it belongs to the store: another store on the same folder loads everything.
     """
+    folder = hashlib.sha256(raw_dir.rstrip("/").encode()).hexdigest()[:16]
+    checkpoint = checkpoint or f"{store.table.rstrip('/')}-pickup/{folder}"
 
     def take(batch: DataFrame, _: int) -> None:
         paths = batch.where(batch.path.rlike(MONTH_IN_PATH))
         months = paths.select(path_month(paths.path).alias("month")).distinct().collect()
         if months:
-            load_months(batch.sparkSession, raw_dir, store, [row.month for row in months])
+            load_months(batch.sparkSession, raw_dir, store, [row.month for row in months], layout)
 
     return (
         new_files(spark, raw_dir).writeStream
         .foreachBatch(take)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/month-pickup")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -116,9 +116,22 @@ def test_report_counts_each_rule(spark):
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Seoul"])
-def test_loading_pins_the_zone(spark, zone):
-    from farebox.session import pin_utc
+def test_zone_of_the_session_does_not_matter(spark, zone):
+    """A trip over the change of clocks, without and with a zone; the session keeps its zone."""
+    from datetime import datetime
 
+    from farebox.sources.raw import normalise
+
+    values = "1 AS passenger_count, 1D AS trip_distance, 9D AS fare_amount, 0D AS tip_amount, 9D AS total_amount"
+    before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
-    pin_utc(spark)
-    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    try:
+        for kind, mark in (("TIMESTAMP_NTZ", ""), ("TIMESTAMP", "Z")):
+            raw = spark.sql(f"""SELECT 1 AS vendorid, {kind}'2024-11-03 05:20:00{mark}' AS
+                tpep_pickup_datetime, {kind}'2024-11-03 06:40:00{mark}' AS tpep_dropoff_datetime, {values}""")
+            row = clean(normalise(raw)).first()
+            assert row.trip_duration_min == 80.0 and row.pickup_hour == 5
+            assert row.tpep_pickup_datetime == datetime(2024, 11, 3, 5, 20)
+        assert spark.conf.get("spark.sql.session.timeZone") == zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

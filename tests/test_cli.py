@@ -21,9 +21,9 @@ def test_command_line(spark, folder, capsys):
         return capsys.readouterr().out
 
     run("create")
-    assert "6 rows in" in run("load")
+    assert "6 rows in" in run("load", "--year", "2024", "--months", "1")
     out = run("backfill", "--from", "2024-01", "--to", "2024-04")
-    assert "2024-02  no file, skipped" in out and "2024-04  skipped, lacks tip_amount" in out
+    assert "2024-02  no file, skipped" in out and "2024-04  skipped" in out and "lacks tip_amount" in out
     assert "14 rows in" in out
     assert "passed: 8 rows" in run("quality", "2024-03")
     assert "8 rows in" in run("scheduled", "--run-date", "2024-06-01")
@@ -33,6 +33,27 @@ def test_command_line(spark, folder, capsys):
     assert "|success|" in run("sql", "SELECT DISTINCT status FROM pipeline_runs")
     month_file(raw, date(2024, 5, 1), rows=3)
     run("watch", "--checkpoint", f"{folder}/checkpoint")
-    assert "|17   |" in run("sql", "SELECT count(*) AS trips FROM clean_taxi_trips")
+    assert "|17|" in run("sql", "SELECT count(*) AS trips FROM clean_taxi_trips")
     with pytest.raises(ValueError, match="2024-02 has no rows"):
         run("quality", "2024-02")
+
+
+def test_all_rows_are_printed(spark, folder, capsys):
+    base = ["--table", f"{folder}/table", "--ledger", f"{folder}/ledger"]
+    assert main([*base, "create"]) == 0
+    capsys.readouterr()
+    assert main([*base, "sql", "SELECT id FROM range(2500)"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 2501
+    assert main([*base, "sql", "SELECT id FROM range(2500)", "--limit", "3"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 4
+    assert main([*base, "sql", "SELECT id FROM range(2500)", "--out", f"{folder}/rows"]) == 0
+    assert spark.read.parquet(f"{folder}/rows").count() == 2500
+    assert main([*base, "health"]) == 1
+
+
+def test_usage_errors(folder, capsys):
+    base = ["--table", f"{folder}/table", "--ledger", f"{folder}/ledger"]
+    for command in (["load", "--year", "2024", "--months", "1"], ["load", "--months", "1"], ["backfill"]):
+        with pytest.raises(SystemExit):
+            main([*base, *command])
+    assert "needs --raw" in capsys.readouterr().err

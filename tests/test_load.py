@@ -143,11 +143,133 @@ def test_scheduled_load_runs_the_gate(spark, folder, raw, store):
         jobs.scheduled_load(spark, f"{folder}/none", store, date(2024, 6, 1))
 
 
+def test_scheduled_load_is_not_satisfied_by_old_rows(spark, folder, raw, store):
+    jobs.backfill(spark, raw, store, "2024-01", "2024-02")
+    month_file(f"{folder}/bad", JAN, drop=["total_amount"])
+    with pytest.raises(ValueError, match="2024-01 was rejected"):
+        jobs.scheduled_load(spark, f"{folder}/bad", store, date(2024, 4, 15))
+    month_file(f"{folder}/none", JAN, fare=5000.0)
+    with pytest.raises(ValueError, match="2024-01 has no rows"):
+        jobs.scheduled_load(spark, f"{folder}/none", store, date(2024, 4, 15))
+    assert counts(spark, store) == {JAN: 10, FEB: 20}
+    assert [row[3] for row in ledger(spark, store)] == ["success", "success", "rejected", "empty"]
+
+
+def test_every_requested_month_is_in_the_ledger(spark, folder, raw, store):
+    month_file(raw, MAR, drop=["tip_amount"])
+    month_file(raw, date(2024, 4, 1), rows=3, fare=5000.0)
+    result = jobs.backfill(spark, raw, store, "2024-01", "2024-05")
+    assert ledger(spark, store) == [
+        (2024, 1, 10, "success"), (2024, 2, 20, "success"), (2024, 3, None, "rejected"),
+        (2024, 4, 0, "empty"), (2024, 5, None, "missing")]
+    rows = RunLedger(spark, store.ledger).read().collect()
+    assert abs(sum(r.duration_sec or 0 for r in rows) - result.seconds) < 0.01
+    assert "lacks tip_amount" in next(r.error_msg for r in rows if r.month == 3)
+    assert result.raw == {JAN: 10, FEB: 20, date(2024, 4, 1): 3}
+    assert result.dropped == {JAN: 0, FEB: 0, date(2024, 4, 1): 3} and result.nulled == {}
+
+
+def test_month_is_taken_whole_or_not_at_all(spark, folder, store):
+    """A part lacks a column, a second file does, a part cannot be read: old rows stay."""
+    good, bad = f"{folder}/good", f"{folder}/bad"
+    month_file(good, JAN, rows=20)
+    month_file(good, FEB, rows=20)
+    month_file(good, MAR, rows=20)
+    jobs.backfill(spark, good, store, "2024-01", "2024-03")
+    month_file(bad, JAN, rows=5, part="a")
+    lacking = month_file(bad, JAN, rows=5, part="b", drop=["fare_amount"])
+    month_file(f"{bad}/x", FEB, rows=5)
+    month_file(f"{bad}/y", FEB, rows=5, drop=["fare_amount"])
+    month_file(bad, MAR, rows=5, part="a")
+    month_file(bad, MAR, rows=5, part="b", variant="B")
+    broken = month_file(bad, MAR, rows=5, part="c", variant="B")
+    with open(broken, "wb") as file:
+        file.write(b"no parquet")
+    result = jobs.backfill(spark, bad, store, "2024-01", "2024-03")
+    assert result.total == 0 and counts(spark, store) == {JAN: 20, FEB: 20, MAR: 20}
+    named = [r.file.path for r in result.rejected]
+    assert any(p.endswith(lacking) for p in named) and any(p.endswith(broken) for p in named)
+    assert len(named) == 3
+    assert [row[3] for row in ledger(spark, store)][3:] == ["rejected"] * 3
+
+
+def test_footers_are_read_in_few_jobs(spark, folder):
+    for k in range(60):
+        month_file(f"{folder}/raw", JAN, rows=2, part=f"{k:03d}", variant="AB"[k % 2])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        trips = read_months(spark, find_months(spark, f"{folder}/raw")).trips
+        jobs_started = len(tracker.getJobIdsForGroup("footers"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_started <= 8
+    assert trips.count() == 120
+
+
+def test_values_lost_to_a_cast_are_counted(spark, folder, store):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = month_file(f"{folder}/raw", JAN, rows=3)
+    table = pq.read_table(path)
+    at = table.schema.get_field_index("VendorID")
+    pq.write_table(table.set_column(at, "VendorID", pa.array([1, 2**40, 2])), path)
+    result = jobs.monthly_load(spark, f"{folder}/raw", store, 2024, 1)
+    assert result.nulled == {"vendor_id": 1} and result.rows == {JAN: 3}
+
+
+def test_stray_names_are_ignored(spark, folder, raw):
+    month_file(raw, JAN, rows=1)
+    import shutil
+
+    shutil.copy(f"{raw}/trips_2024-01.parquet", f"{raw}/zones_2024-13.parquet")
+    assert [f.month for f in find_months(spark, raw)] == [JAN, FEB]
+
+
+def test_months_are_deleted_on_disk(spark, raw, store):
+    jobs.backfill(spark, raw, store, "2024-01", "2024-02")
+    assert jobs.delete_months(spark, store, [JAN, MAR]) == [JAN]
+    assert counts(spark, store) == {FEB: 20}
+    table = TripTable(spark, store.table)
+    views.register_views(spark, table.read(), jobs.read_summary(table, store.summary))
+    assert spark.sql("SELECT sum(trip_count) FROM v_monthly_trend").first()[0] == 20
+
+
+def test_stale_or_failing_summary(spark, folder, raw, store):
+    """A failing refresh leaves the load standing; readers take the month from the trips."""
+    jobs.monthly_load(spark, raw, store, 2024, 1)
+    other = jobs.Store(store.table, store.ledger)
+    jobs.monthly_load(spark, raw, other, 2024, 2)
+    table = TripTable(spark, store.table)
+    for _ in range(2):
+        trips, summary = table.read(), jobs.read_summary(table, store.summary)
+        for view in (views.hourly_stats, views.monthly_trend, views.driver_revenue):
+            assert sorted(view(trips).collect()) == sorted(view(summary).collect())
+    with open(f"{folder}/file", "w") as file:
+        file.write("in the way")
+    blocked = jobs.Store(store.table, store.ledger, f"{folder}/file/summary")
+    month_file(raw, JAN, rows=4)
+    result = jobs.monthly_load(spark, raw, blocked, 2024, 1)
+    assert result.rows == {JAN: 4} and result.summary_error
+    assert [row[3] for row in ledger(spark, store)][-2:] == ["success", "summary_failed"]
+    views.register_views(spark, table.read(), jobs.read_summary(table, store.summary))
+    assert spark.sql("SELECT sum(trip_count) FROM v_monthly_trend").first()[0] == 24
+
+
+def test_layout_options_reach_the_table(spark, raw, store):
+    from farebox.sources.tables import Layout
+
+    jobs.monthly_load(spark, raw, store, 2024, "1-2", Layout("rebalance", 7, True))
+    files = TripTable(spark, store.table).read().groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count"), F.sum("count")).first() == (7, 30)
+
+
 def test_stored_summary_follows_the_table(spark, folder, raw, store):
     jobs.backfill(spark, raw, store, "2024-01", "2024-02")
     month_file(raw, JAN, rows=3, fare=99.0)
     jobs.monthly_load(spark, raw, store, 2024, 1)
-    trips, summary = TripTable(spark, store.table).read(), jobs.read_summary(spark, store.summary)
+    trips, summary = TripTable(spark, store.table).read(), jobs.read_summary(TripTable(spark, store.table), store.summary)
     for view in (views.hourly_stats, views.weekday_stats, views.monthly_trend, views.driver_revenue):
         assert sorted(view(trips).collect()) == sorted(view(summary).collect())
     views.register_views(spark, trips, summary)

@@ -13,7 +13,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+# Queries of the training-data subpackage have tests of their own.
+QUERIES, SQL = contract.registry.queries(), contract.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -133,3 +133,12 @@ def test_arrow_writer_sees_every_row_once(spark):
         return sum(sum(batch.column(0).to_pylist()) for batch in batches)
 
     assert arrow_sink.total_rows(arrow_sink.write_partitions(frame, add_up)).first().rows == 499_500
+
+
+def test_csv_writer_repeats_a_partition(spark, folder):
+    frame = spark.range(0, 1000, 1, 4).selectExpr("id", "id % 3 AS k")
+    for _ in range(2):  # a second run puts the same files in place
+        counts = arrow_sink.write_partitions(frame, arrow_sink.csv_writer(f"{folder}/csv"))
+        assert arrow_sink.total_rows(counts).first().rows == 1000
+    back = spark.read.option("header", True).schema("id long, k long").csv(f"{folder}/csv")
+    assert back.count() == 1000 and back.exceptAll(frame).count() == 0

@@ -27,3 +27,20 @@ def test_new_months_are_loaded_once(spark, folder):
     # A late part of February: the month is loaded again from both parts.
     month_file(raw, FEB, rows=2, part="b")
     assert run() == ({JAN: 5, FEB: 9}, 3)
+
+
+def test_state_belongs_to_the_store(spark, folder):
+    """Without a checkpoint: nothing new for the same store, everything for another one."""
+    raw = f"{folder}/raw"
+    month_file(raw, JAN, rows=5)
+    first, second = (Store(f"{folder}/{n}/table", f"{folder}/{n}/ledger") for n in "ab")
+
+    def runs(store, session):
+        TripTable(session, store.table).create()
+        assert pick_up_months(session, raw, store).awaitTermination(120)
+        return RunLedger(session, store.ledger).read().count()
+
+    assert runs(first, spark) == 1 and runs(first, spark) == 1
+    assert runs(first, spark.newSession()) == 1
+    assert runs(second, spark) == 1
+    assert TripTable(spark, second.table).read().count() == 5
