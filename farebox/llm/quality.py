@@ -198,7 +198,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         slope, shift = curve(np.array([float(weight[p] @ v) for p, v in rows]), labels)
         yield pa.RecordBatch.from_pydict({"model": [np.append(weight, [slope, shift]).tobytes()]})
 
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    # The ids of the sample are drawn first, so only its own texts move a second time.
+    drawn = [F.xxhash64("doc_id"), "doc_id", "label"]
+    chosen = known.distinct().join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(*drawn).limit(FIT_ROWS)
+    sample = texts.join(F.broadcast(chosen), "doc_id").orderBy(*drawn, F.xxhash64("text")).limit(FIT_ROWS).select(
+        "doc_id", "text", "label")
     fitted = sample.mapInArrow(vectors, "label int, places array<int>").coalesce(1).mapInArrow(
         learn, "model binary").first()
     found = np.frombuffer(fitted["model"], np.float64)
