@@ -151,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(known, "doc_id").select("doc_id", "text", "label")
+    # One plan at every size: labels grow with the corpus, so they are never broadcast.
+    rows = texts.join(known.hint("merge"), "doc_id").select("doc_id", "text", "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, DIMENSIONS), np.int64)
