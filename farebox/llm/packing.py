@@ -1,11 +1,15 @@
-"""Documents packed into sequences of bounded length by the sum-of-squares rule.
+"""Documents packed into sequences of bounded length by best fit decreasing.
 
 A document longer than a sequence is cut into full pieces; what is left over is its first piece.
-Full pieces are sequences by themselves. The others are placed one after the other where the sum of
-squares of N(g), the number of open sequences with g free places, becomes smallest. The rule keeps
-gaps of all sizes in supply, which is what later pieces need; at the end of a group, when nothing
-comes later, gaps are of no use, so the last pieces are placed in the tightest gap by the same
-table of counts.
+Full pieces are sequences by themselves. The others are placed one after the other, long ones first.
+
+The method this departs from is the sum-of-squares rule: a piece goes where the sum of squares of
+N(g), the number of open sequences with g free places, becomes smallest. That keeps gaps of all
+sizes in supply for pieces to come, which pays when they come in any order; here all are known. The
+rule decides only while the pieces to come could fill the gaps twice. From then on a piece goes to
+the tightest gap by the same table of counts, which needs fewer sequences. Where many pieces are
+longer than half a sequence, as in the test tables, none fits a gap before that, and all pieces that
+go into a gap go there by best fit.
 
 Null or empty texts are one piece that holds the end id. Rows that repeat are packed as rows of
 their own. An empty table gives an empty result.
@@ -62,14 +66,17 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
     return needed.mapInArrow(encode, PIECE_SCHEMA)
 
 
-def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def sum_of_squares(
+    lengths: np.ndarray, capacity: int, tight: bool = True, decreasing: bool = True,
+) -> tuple[np.ndarray, np.ndarray]:
     """A sequence and an offset for each piece; lengths are from 1 to ``capacity``.
 
-    Long pieces come first. Placing a piece of length s in a gap g changes the sum of squares by
+    Without ``tight`` the sum-of-squares rule places every piece, without ``decreasing`` pieces are
+    placed in the order given. Both are for comparison: they need more sequences. Placing a piece of length s in a gap g changes the sum of squares by
     2 (N(g - s) - N(g) + 1), by 1 - 2 N(s) if it fills the gap, and by 2 N(capacity - s) + 1 if it
     opens a sequence.
     """
-    order = np.argsort(-lengths, kind="stable")
+    order = np.argsort(-lengths, kind="stable") if decreasing else np.arange(len(lengths))
     counts = np.zeros(capacity + 1, np.int64)
     open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
     sequence = np.empty(len(lengths), np.int64)
@@ -86,7 +93,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         best = int(np.argmin(change)) if size < capacity else 0
         usable = size < capacity and gaps[best] > 0
         # Gaps are kept in supply only while what is to come could fill them twice.
-        spare = remaining[number] >= 2 * free
+        spare = not tight or remaining[number] >= 2 * free
         if usable and (change[best] <= 2 * counts[capacity - size] + 1 or not spare):
             gap = size + (best if spare else int(np.flatnonzero(gaps)[0]))
             target = open_at[gap].pop()

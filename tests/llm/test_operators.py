@@ -123,6 +123,26 @@ def test_sum_of_squares_is_close_to_the_bound():
     assert len(packing.sum_of_squares(np.zeros(0, np.int64), 1024)[0]) == 0
 
 
+def test_best_fit_needs_fewer_sequences_than_sum_of_squares():
+    """The rule by itself, against a recount of the squares; and the placement that is used instead."""
+    lengths = np.random.default_rng(1).integers(1, 30, 300)
+    for decreasing in (True, False):
+        sequence, offset = packing.sum_of_squares(lengths, 30, tight=False, decreasing=decreasing)
+        left, squares = {}, lambda gaps: sum(n * n for g, n in collections.Counter(gaps.values()).items() if g)
+        for at in np.argsort(-lengths, kind="stable") if decreasing else range(len(lengths)):
+            size, chosen = int(lengths[at]), int(sequence[at])
+            choices = {left.get(s, 30): s for s in [*left, len(left)] if left.get(s, 30) >= size}
+            least = min(squares({**left, s: gap - size}) for gap, s in choices.items())
+            assert offset[at] == 30 - left.get(chosen, 30)
+            left[chosen] = left.get(chosen, 30) - size
+            assert squares(left) == least
+    lengths = np.random.default_rng(2).integers(1, 1024, 4000)
+    used, by_length, as_drawn = (
+        len(np.unique(packing.sum_of_squares(lengths, 1024, **how)[0]))
+        for how in ({}, {"tight": False}, {"tight": False, "decreasing": False}))
+    assert used <= by_length <= as_drawn
+
+
 def test_piece_codec_and_counts(odd_docs, no_docs):
     processor = piece_codec.codec(PIECES).model.library
     found = collections.Counter(tuple(r) for r in piece_codec.round_trip(odd_docs, PIECES).collect())
