@@ -1,9 +1,10 @@
 """URL filter: host and path rules first, then a tree of path templates with labelled purity.
 
 Paths are taken apart at slashes into the branches of a tree per host. Runs of digits are wildcards
-at once. Level by level, a node with many children that each hold few pages has one variable child
-in their place, and children whose share of bad pages does not differ from that of their siblings
-(two proportions, 95 %) are merged into one branch. What is left are templates. A template's purity
+at once. Level by level, where many children of a node hold few pages each, these children are one
+variable child. Of the others, however large they are, those whose share of bad pages does not
+differ from that of their siblings (two proportions, 95 %) are merged into one branch. What is left
+are templates. A template's purity
 is its share of good pages, smoothed towards its host's, which is smoothed towards the share of all
 pages; templates of a purity below one half are blocked.
 
@@ -23,7 +24,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 # Levels of the tree; what lies deeper is one wildcard.
 LEVELS = 4
-# A node with more children than this, of fewer pages each, has one variable child instead.
+# A node's children of fewer pages than this are one variable child if there are more than so many.
 MANY_CHILDREN, FEW_PAGES = 32, 8
 SMOOTHING = 5.0
 LEAST_PURITY = 0.5
@@ -74,12 +75,14 @@ def templates(counts: DataFrame) -> DataFrame:
         children = tree.withColumn("child", segment).where(F.col("child").isNotNull()).groupBy(
             *node, "child").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
         siblings = Window.partitionBy(*node)
-        total = {c: F.sum(c).over(siblings) for c in ("n", "good", "bad")}
-        many = (F.count(F.lit(1)).over(siblings) > MANY_CHILDREN) & (
-            total["n"] < FEW_PAGES * F.count(F.lit(1)).over(siblings))
+        total = {c: F.sum(c).over(siblings) for c in ("good", "bad")}
+        few = F.col("n") < FEW_PAGES
+        many = few & (F.count_if(few).over(siblings) > MANY_CHILDREN)
         apart = _tests(F.col("good"), F.col("bad"), total["good"], total["bad"])
-        # "*": variable segment; "+": children like each other; else the child by itself.
-        branch = F.when(many, F.lit("*")).when(apart, F.col("child")).otherwise(F.lit("+"))
+        # "*": variable segment; "+": children like each other; else the child by itself, marked if
+        # it is written like one of the two.
+        own = F.when(F.col("child").rlike(r"^=*[*+]$"), F.concat(F.lit("="), "child")).otherwise(F.col("child"))
+        branch = F.when(many, F.lit("*")).when(apart, own).otherwise(F.lit("+"))
         named = children.select(*node, "child", branch.alias("branch"))
         tree = tree.withColumn("child", segment).join(named, [*node, "child"], "left").withColumn(
             "template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(

@@ -364,3 +364,21 @@ def test_url_templates_reject_bad_branches(spark):
         spark.createDataFrame(labels, "doc_id long, quality int")).collect()
     assert all((r.verdict == "block") == (r.page_id % 4 == 0) for r in found)
     assert len({r.template for r in found if r.page_id % 4}) == 1 or all(r.purity > 0.5 for r in found if r.page_id % 4)
+
+
+def verdicts_of(spark, paths, bad):
+    """Templates and verdicts of labelled pages of one host; the first part of a path says what it is."""
+    found = url_templates.filter_urls(
+        spark.createDataFrame([(k, f"http://site.info{p}/{k}") for k, p in enumerate(paths)], "page_id long, url string"),
+        spark.createDataFrame([(k, int(not bad(p))) for k, p in enumerate(paths)], "doc_id long, quality int")).collect()
+    return [(paths[r.page_id], r.template, r.verdict) for r in found]
+
+
+@pytest.mark.parametrize("name", ["spam", "7"])
+@pytest.mark.parametrize("size", [900, 3_000])
+def test_a_large_branch_beside_many_small_ones_is_judged_alone(spark, name, size):
+    letters = "abcdefghij"
+    paths = ["/slug-" + "".join(letters[int(d)] for d in str(k)) for k in range(1_000)] + [f"/{name}"] * size
+    found = verdicts_of(spark, paths, lambda p: p == f"/{name}")
+    assert all((verdict == "block") == (path == f"/{name}") for path, _, verdict in found)
+    assert len({template for path, template, _ in found if path != f"/{name}"}) == 1
