@@ -3,8 +3,8 @@
 Paths are taken apart at slashes into the branches of a tree per host. Runs of digits are wildcards
 at once. Level by level, where many children of a node hold few pages each, these children are one
 variable child. Of the others, however large they are, those whose share of bad pages does not
-differ from that of their siblings (two proportions, 95 %) are merged into one branch. What is left
-are templates. A template's purity
+differ from that of their siblings (two proportions, 95 %) are merged into one branch. This goes on
+until no path has a further segment. What is left are templates. A template's purity
 is its share of good pages, smoothed towards its host's, which is smoothed towards the share of all
 pages; templates of a purity below one half are blocked.
 
@@ -22,8 +22,6 @@ from .common import staged
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-# Levels of the tree; what lies deeper is one wildcard.
-LEVELS = 4
 # A node's children of fewer pages than this are one variable child if there are more than so many.
 MANY_CHILDREN, FEW_PAGES = 32, 8
 SMOOTHING = 5.0
@@ -52,9 +50,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def segments_of(path: Column) -> Column:
-    parts = F.filter(F.split(F.regexp_replace(path, r"\d+", "*"), "/"), lambda s: s != "")
-    deep = F.concat(F.slice(parts, 1, LEVELS), F.array(F.lit("**")))
-    return F.when(F.size(parts) > LEVELS, deep).otherwise(parts)
+    return F.filter(F.split(F.regexp_replace(path, r"\d+", "*"), "/"), lambda s: s != "")
 
 
 def _tests(good: Column, bad: Column, all_good: Column, all_bad: Column) -> Column:
@@ -69,7 +65,9 @@ def _tests(good: Column, bad: Column, all_good: Column, all_bad: Column) -> Colu
 def templates(counts: DataFrame) -> DataFrame:
     """``host``, ``segments`` and the ``template`` they fall under, from counts per host and segments."""
     tree = counts.withColumn("template", F.lit("").cast("string"))
-    for level in range(LEVELS + 1):
+    depth = counts.agg(F.max(F.size("segments"))).first()[0] or 0
+    ended = []
+    for level in range(depth):
         segment = F.get("segments", F.lit(level))
         node = ["host", "template"]
         children = tree.withColumn("child", segment).where(F.col("child").isNotNull()).groupBy(
@@ -84,9 +82,13 @@ def templates(counts: DataFrame) -> DataFrame:
         own = F.when(F.col("child").rlike(r"^=*[*+]$"), F.concat(F.lit("="), "child")).otherwise(F.col("child"))
         branch = F.when(many, F.lit("*")).when(apart, own).otherwise(F.lit("+"))
         named = children.select(*node, "child", branch.alias("branch"))
-        tree = tree.withColumn("child", segment).join(named, [*node, "child"], "left").withColumn(
-            "template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.lit("/"), "branch"))).drop("child", "branch")
+        # Rows that end above this level are done.
+        ended.append(tree.where(F.size("segments") <= level))
+        tree = staged(tree.where(F.size("segments") > level).withColumn("child", segment).join(
+            named, [*node, "child"]).withColumn("template", F.concat("template", F.lit("/"), "branch")).drop(
+            "child", "branch"), "url-tree")
+    for part in ended:
+        tree = tree.unionByName(part)
     return tree
 
 

@@ -382,3 +382,10 @@ def test_a_large_branch_beside_many_small_ones_is_judged_alone(spark, name, size
     found = verdicts_of(spark, paths, lambda p: p == f"/{name}")
     assert all((verdict == "block") == (path == f"/{name}") for path, _, verdict in found)
     assert len({template for path, template, _ in found if path != f"/{name}"}) == 1
+
+
+def test_branches_that_part_at_a_deep_level_are_told_apart(spark):
+    paths = [f"/a/b/c/d{'/e' * extra}/{kind}" for extra in (0, 1, 4) for kind in ("good", "bad") for _ in range(40)]
+    found = verdicts_of(spark, paths, lambda p: p.endswith("bad"))
+    assert len(found) == len(paths)
+    assert all((verdict == "block") == path.endswith("bad") for path, _, verdict in found)
