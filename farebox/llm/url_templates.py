@@ -16,7 +16,7 @@ which is a template like any other. Rows that repeat are judged alike; without l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged
 
@@ -70,13 +70,14 @@ def templates(counts: DataFrame) -> DataFrame:
     for level in range(depth):
         segment = F.get("segments", F.lit(level))
         node = ["host", "template"]
-        children = tree.withColumn("child", segment).where(F.col("child").isNotNull()).groupBy(
-            *node, "child").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-        siblings = Window.partitionBy(*node)
-        total = {c: F.sum(c).over(siblings) for c in ("good", "bad")}
+        children = staged(tree.withColumn("child", segment).where(F.col("child").isNotNull()).groupBy(
+            *node, "child").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")]), "url-children")
         few = F.col("n") < FEW_PAGES
-        many = few & (F.count_if(few).over(siblings) > MANY_CHILDREN)
-        apart = _tests(F.col("good"), F.col("bad"), total["good"], total["bad"])
+        siblings = children.groupBy(*node).agg(
+            F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"), F.count_if(few).alias("all_few"))
+        children = children.join(siblings, node)
+        many = few & (F.col("all_few") > MANY_CHILDREN)
+        apart = _tests(F.col("good"), F.col("bad"), F.col("all_good"), F.col("all_bad"))
         # "*": variable segment; "+": children like each other; else the child by itself, marked if
         # it is written like one of the two.
         own = F.when(F.col("child").rlike(r"^=*[*+]$"), F.concat(F.lit("="), "child")).otherwise(F.col("child"))
@@ -94,21 +95,23 @@ def templates(counts: DataFrame) -> DataFrame:
 
 def judged(tree: DataFrame) -> DataFrame:
     """Templates with ``purity`` and ``verdict``."""
-    def total(name: str, *keys: str) -> Column:
-        return F.sum(name).over(Window.partitionBy(*keys))
-
     everywhere = tree.agg(((F.sum("good") + 1) / (F.sum("good") + F.sum("bad") + 1)).alias("prior"))
     prior = everywhere.first()["prior"]
     prior = 1.0 if prior is None else float(prior)
 
-    def smoothed(towards, *keys: str) -> Column:
-        good, bad = total("good", *keys), total("bad", *keys)
-        return (good + SMOOTHING * towards) / (good + bad + SMOOTHING)
+    def smoothed(towards: Column) -> Column:
+        return (F.col("good") + SMOOTHING * towards) / (F.col("good") + F.col("bad") + SMOOTHING)
+
+    def totals(frame: DataFrame, *keys: str) -> DataFrame:
+        return frame.groupBy(*keys).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
 
-    scored = tree.withColumn("host_purity", smoothed(F.lit(prior), "host")).withColumn(
-        "purity", smoothed(F.col("host_purity"), "host", "template"))
-    return scored.withColumn("method_verdict", F.when(
-        F.col("purity") < LEAST_PURITY, F.lit("block")).otherwise(F.lit("allow")))
+    # Sums are pre-aggregated, so no task holds all rows of a host.
+    by_template = staged(totals(tree, "host", "template"), "url-sums")
+    hosts = totals(by_template, "host").select("host", smoothed(F.lit(prior)).alias("host_purity"))
+    scored = by_template.join(hosts, "host").withColumn("purity", smoothed(F.col("host_purity")))
+    scored = scored.select("host", "template", "purity", F.when(
+        F.col("purity") < LEAST_PURITY, F.lit("block")).otherwise(F.lit("allow")).alias("method_verdict"))
+    return tree.join(scored, ["host", "template"])
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:

@@ -389,3 +389,11 @@ def test_branches_that_part_at_a_deep_level_are_told_apart(spark):
     found = verdicts_of(spark, paths, lambda p: p.endswith("bad"))
     assert len(found) == len(paths)
     assert all((verdict == "block") == path.endswith("bad") for path, _, verdict in found)
+
+
+def test_no_window_over_the_pages_of_a_host(spark, monkeypatch):
+    plans, real = [], url_templates.staged
+    monkeypatch.setattr(url_templates, "staged", lambda frame, name: (
+        plans.append(frame._jdf.queryExecution().toString()), real(frame, name))[1])
+    verdicts_of(spark, ["/a/b", "/a/c", "/d"], lambda p: p == "/d")
+    assert plans and not any("Window" in plan for plan in plans)
