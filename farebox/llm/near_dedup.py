@@ -11,7 +11,8 @@ in blocks of bounded size; a task reports only the links that join classes it ha
 every candidate pair that could join two classes is verified, and none other.
 
 Equal texts are one node. Null counts as empty; texts without words are linked to equal ones only.
-Rows that repeat belong to one class. A class is named by its smallest ``doc_id``.
+Rows that repeat belong to one class. A class is named by its smallest ``doc_id``; as ids may be null
+or repeat, it is known by the text of the row it keeps, which no other class has.
 """
 
 from __future__ import annotations
@@ -104,7 +105,10 @@ def _joins(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_sha256``, ``class_id`` and ``class_size`` of every row."""
+    """``doc_id``, ``text_sha256``, ``class_id``, ``class_size`` and ``class_sha256`` of every row.
+
+    ``class_sha256`` tells classes apart: the hash of the text of the row with the smallest id.
+    """
     signed = staged(_signed(docs), "signed")
     # One node per text; bands are null where a task had met the text before.
     nodes = staged(signed.groupBy("sha").agg(
@@ -169,23 +173,25 @@ def near_classes(docs: DataFrame) -> DataFrame:
     last = merged.select(F.col("node").alias("class"), F.col("root").alias("_last"))
     roots = roots.join(last, "class", "left").select("sha", F.coalesce("_last", "class").alias("root"))
     rows = signed.select("doc_id", "sha").join(roots, "sha")
-    sizes = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # Of the rows with the smallest id, the one with the smallest hash; null ids come last.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha"))
+    sizes = rows.groupBy("root").agg(least.alias("least"), F.count(F.lit(1)).alias("class_size"))
     return rows.join(sizes, "root").select(
-        "doc_id", F.col("sha").alias("text_sha256"), "class_id", "class_size")
+        "doc_id", rows["sha"].alias("text_sha256"), F.col("least.doc_id").alias("class_id"), "class_size",
+        F.col("least.sha").alias("class_sha256"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The row with the smallest ``doc_id`` of each class, with all its columns."""
     ids = staged(near_classes(docs).where("class_size > 1"), "classes")
-    stays = ids.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(
-        F.min("text_sha256").alias("sha"))
+    stays = ids.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_sha256") == F.col("class_sha256")))
     goes = ids.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
         F.sha2(_text(), 256).alias("_sha"))
     same = F.col("r._id").eqNullSafe(F.col("o._id")) & (F.col("r._sha") == F.col("o._sha"))
     alone = rows.alias("r").join(goes.alias("o"), same, "left_anti")
-    kept = stays.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"))
+    kept = stays.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     once = Window.partitionBy("_id", "_sha").orderBy(F.lit(0))
     first = rows.alias("r").join(kept.alias("o"), same, "left_semi").withColumn(
         "_n", F.row_number().over(once)).where("_n = 1")

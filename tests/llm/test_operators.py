@@ -222,6 +222,20 @@ def test_near_dedup_on_odd_rows(odd_docs, no_docs):
     assert near_dedup.near_classes(no_docs).count() == 0
 
 
+def test_each_class_keeps_a_row_whatever_its_ids(spark):
+    """Classes without ids, and classes that share their smallest id."""
+    def copies(word, ids):
+        words = [f"{word}{k}" for k in range(200)]
+        return [(i, " ".join([*words, f"end{k}"])) for k, i in enumerate(ids)]
+
+    groups = [copies("a", [None, None]), copies("b", [None, None, None]), copies("c", [4, 5]), copies("d", [6, 4])]
+    docs = spark.createDataFrame(sum(groups, []), "doc_id long, text string")
+    kept = [(r.doc_id, r.text[0]) for r in near_dedup.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == [(4, "c"), (4, "d"), (None, "a"), (None, "b")]
+    found = near_dedup.near_classes(docs)
+    assert sorted(r["count"] for r in found.groupBy("class_sha256").count().collect()) == [2, 2, 2, 3]
+
+
 def test_blocks_of_a_large_bucket(spark, monkeypatch):
     """A chain: neighbours are alike, the leader is like few; blocks of three members."""
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
