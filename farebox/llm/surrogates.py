@@ -8,15 +8,20 @@ letters into its case. Letters become letters of the same script, digits digits;
 keeps its gender, a card its first digit, an address its top-level domain.
 
 Distinctness is checked over the whole corpus: a surrogate that another entity also got, or that is
-itself an entity of the corpus, is drawn again for all but one of them, until none is left. The
-check works on distinct entities only; texts move only if they hold some, and each text of a group
-of equal ones is read once for it.
+itself an entity of the corpus, is drawn again for all but one of them, until none is left. An entity
+that finds none of its own length takes a longer one, so that small forms do not run out. The check
+works on distinct entities only; texts move only if they hold some, and each text of a group of equal
+ones is read once for it.
 
 Null texts stay null, empty ones empty. Rows that repeat get the same result.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import staged
@@ -51,9 +56,29 @@ ALPHABETS = {
     r"\p{IsCyrillic}": "абвгдежзийклмнопрстуфхцчшщыэюя", r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
 }
 DIGITS = ("ssn", "phone", "card")
+# Draws of a surrogate as long as the entity; each draw after these is one character longer.
 ATTEMPTS = 50
 
 
+def _other_alphabets() -> list[str]:
+    """Letters of the other scripts that have case, one string for each script and form.
+
+    Capitals without a small letter are letters of their own. Forms of few letters are one alphabet.
+    """
+    forms = defaultdict(str)
+    for code in range(0xAA, 0x20000):
+        c = chr(code)
+        if unicodedata.category(c) not in ("Ll", "Lu") or c.lower() != c:
+            continue
+        name = unicodedata.name(c)
+        if not re.match("(LATIN|FULLWIDTH LATIN|CYRILLIC|GREEK) ", name):
+            forms[re.match(r"(.*LIGATURE|.*?\b(?:SMALL|CAPITAL)\b|\S+)", name)[1]] += c
+    return [f for f in forms.values() if len(f) >= 10] + ["".join(f for f in forms.values() if len(f) < 10)]
+
+
+OTHERS = _other_alphabets()
+
+
 def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -88,8 +113,13 @@ def _disguised(text: Column, seed: Column) -> Column:
     stream = F.concat(*[F.sha2(F.concat(seed, F.lit(f"/{k}")), 512) for k in range(5)])
 
     def swap(stream: Column) -> Column:
+        def other(c: Column, i: Column) -> Column:
+            holding = F.filter(F.split(F.lit(" ".join(OTHERS)), " "), lambda letters: F.instr(letters, F.lower(c)) > 0)
+            return F.coalesce(_let(F.get(holding, F.lit(0)), lambda letters: F.substring(
+                letters, _number(stream, i) % F.length(letters) + 1, F.lit(1))), c)
+
         def one(c: Column, i: Column) -> Column:
-            out = c
+            out = F.when(c.rlike(r"[\p{Ll}\p{Lu}]"), other(c, i)).otherwise(c)
             for pattern, letters in reversed(ALPHABETS.items()):
                 drawn = F.substring(F.lit(letters), _number(stream, i) % len(letters) + 1, F.lit(1))
                 out = F.when(F.lower(c).rlike(pattern), F.when(
@@ -106,23 +136,30 @@ def _pick(words: str, number: Column) -> Column:
 
 
 def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
-    """The canonical form of the surrogate for a canonical form."""
+    """The canonical form of the surrogate for a canonical form.
+
+    After ``ATTEMPTS`` draws it is longer than that, by one character more with each draw.
+    """
+    more = F.greatest(attempt - (ATTEMPTS - 1), F.lit(0)).cast("int")
     seed = F.concat_ws("/", F.lit(key), kind, plain, attempt.cast("string"))
     # A card keeps its first digit, a full phone number that of its country.
     keeps = (kind == "card") | ((kind == "phone") & (F.length(plain) > 10))
-    digits = F.when(keeps, F.concat(F.substring(plain, 1, 1), _disguised(F.expr("substring(canonical, 2)"), seed))
-                    ).otherwise(_disguised(plain, seed))
-    octets = F.array_join(F.transform(
-        F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(F.sha2(seed, 256), i) % 254 + 1).cast("string")), ".")
+    zeros, letters = F.repeat(F.lit("0"), more), F.repeat(F.lit("a"), more)
+    after = lambda n: F.substring(plain, F.lit(n), F.length(plain))
+    digits = F.when(keeps, F.concat(F.substring(plain, 1, 1), _disguised(F.concat(after(2), zeros), seed))
+                    ).otherwise(_disguised(F.concat(plain, zeros), seed))
+    octets = F.concat(F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(F.sha2(seed, 256), i) % 254 + 1).cast("string")), "."),
+        _disguised(zeros, seed))
     at, dot = F.instr(plain, "@"), F.length(F.substring_index(plain, ".", -1)) + 1
     domain = F.substring(plain, at + 1, F.length(plain) - at - dot)
     mail = F.concat(
-        _disguised(F.substring_index(plain, "@", 1), seed), F.lit("@"),
+        _disguised(F.concat(F.substring_index(plain, "@", 1), letters), seed), F.lit("@"),
         # One domain has one surrogate, whatever the mailbox.
         _disguised(domain, F.concat_ws("/", F.lit(key), F.lit("domain"), domain)),
         F.lit("."), F.substring_index(plain, ".", -1))
     # A hash stays hexadecimal.
-    hexes = F.substring(F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512)), F.lit(1), F.length(plain))
+    hexes = F.substring(F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512)), F.lit(1), F.length(plain) + more)
     word_seed = lambda word: F.sha2(F.concat_ws("/", F.lit(key), kind, word, attempt.cast("string")), 256)
 
     def given(word: Column) -> Column:
@@ -135,21 +172,25 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
 
     words = F.split(plain, " ")
     name = F.array_join(F.transform(words, lambda w, i: F.when(
-        i < F.size(words) - 1, given(w)).otherwise(_disguised(w, word_seed(w)))), " ")
+        i < F.size(words) - 1, given(w)).otherwise(
+            # The last letter once more, so that the script stays.
+            _disguised(F.concat(w, F.repeat(F.right(w, F.lit(1)), more)), word_seed(w)))), " ")
     return (F.when(kind.isin(*DIGITS), digits).when(kind == "ip", octets).when(kind == "email", mail)
             .when(kind.startswith("name"), name)
             .when((kind == "secret") & plain.rlike("^[0-9a-f]+$"), hexes)
-            .when(kind == "account", F.concat(F.substring(plain, 1, 2), _disguised(F.expr("substring(canonical, 3)"), seed)))
-            .otherwise(_disguised(plain, seed)))
+            .when(kind == "account", F.concat(F.substring(plain, 1, 2), _disguised(F.concat(after(3), zeros), seed)))
+            .otherwise(_disguised(F.concat(plain, letters), seed)))
 
 
 def rendered(kind: Column, mention: Column, plain: Column) -> Column:
     """A surrogate's canonical form, written the way the mention was."""
     def fill(pattern: str) -> Column:
-        """Characters of ``plain`` in the places of the mention that match the pattern."""
-        return F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
+        """Characters of ``plain`` in the places of the mention that match the pattern, then the rest."""
+        places = F.length(F.regexp_replace(mention, f"(?!{pattern}).", ""))
+        rest = F.substring(plain, places + 1, F.length(plain))
+        return F.concat(F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
             c.rlike(pattern), F.substring(plain, F.length(F.regexp_replace(
-                F.substring(mention, F.lit(1), i + 1), f"(?!{pattern}).", "")), F.lit(1))).otherwise(c)), "")
+                F.substring(mention, F.lit(1), i + 1), f"(?!{pattern}).", "")), F.lit(1))).otherwise(c)), ""), rest)
 
     whole = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(plain)).otherwise(plain)
     return (F.when(kind.isin(*DIGITS), fill(r"\d")).when(kind == "account", fill(r"[A-Z0-9]"))
@@ -161,7 +202,8 @@ def dictionary(mentions: DataFrame, key: str) -> DataFrame:
     """A surrogate for each ``kind`` and ``canonical``, distinct and new to the corpus."""
     entities = staged(mentions.select("kind", "canonical").distinct(), "entities")
     now = entities.withColumn("attempt", F.lit(0))
-    for _ in range(ATTEMPTS):
+    # This ends: each draw after the first ones is from ten times as many surrogates or more.
+    while True:
         drawn = staged(now.withColumn(
             "surrogate", surrogate(F.col("kind"), F.col("canonical"), F.col("attempt"), key)), "surrogates")
         same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "canonical")
@@ -172,7 +214,6 @@ def dictionary(mentions: DataFrame, key: str) -> DataFrame:
         if checked.where(clash).isEmpty():
             return checked.select("kind", "canonical", "surrogate")
         now = checked.select("kind", "canonical", (F.col("attempt") + clash.cast("int")).alias("attempt"))
-    raise RuntimeError("more entities than surrogates of their form")
 
 
 def replaced(docs: DataFrame, key: str) -> DataFrame:

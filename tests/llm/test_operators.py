@@ -354,6 +354,25 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     assert len(set(texts)) == 29 and not {f"host 10.0.0.{k} here" for k in range(1, 30)} & set(texts)
 
 
+def test_letters_of_other_scripts_and_used_up_forms(spark, monkeypatch):
+    """Names without a Latin, Cyrillic or Greek letter; forms with as many entities as surrogates."""
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
+    names = ["Արամ", "Արամ Պետրոսյան", "𝐀𝐛𝐜", "ℂ𝐛"]
+    mails = [f"{c}@example.com" for c in "0123456789"]
+    phones = [f"+1 {k:02} {j:02}" for k in range(10, 20) for j in range(0, 100, 7)]
+    mentions = [f"Mr. {n}" for n in names] + mails + phones
+    docs = spark.createDataFrame([(k, f"see {m} now") for k, m in enumerate(mentions)], "doc_id long, text string")
+    new = {r.doc_id: r.text[4:-4] for r in surrogates.replaced(docs, "key").collect()}
+    assert len(new) == len(set(new.values())) == len(mentions) and not set(new.values()) & set(mentions)
+    assert all("\u0531" <= c <= "\u0588" or c in " Mr." for k in (0, 1) for c in new[k])
+    assert all(new[len(names) + k].endswith(".com") for k in range(10))
+    # All two-letter names but few are entities.
+    pairs = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"][:600]
+    docs = spark.createDataFrame([(k, f"Ms {p.title()}") for k, p in enumerate(pairs)], "doc_id long, text string")
+    new = [r.text for r in surrogates.replaced(docs, "key").collect()]
+    assert len(set(new)) == 600 and not set(new) & {f"Ms {p.title()}" for p in pairs}
+
+
 def test_url_templates(spark):
     urls = [None, "nothing", "HTTP://A.Net", "http://a.net/", "x://b.example.NET/en/1?q#f", "x://example.net/EN/1",
             "x://m.example.com/de/7.html", "x://q.org/fr/2", "x://exa.mple/p/1", "a://net.org/x"]
