@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import exact_dedup, multiset_hash, near_dedup, packing, piece_codec, quality, surrogates, token_counts
-from . import token_files, url_templates
+from . import exact_dedup, filter_audit, multiset_hash, near_dedup, packing, piece_codec, quality, surrogates
+from . import token_counts, token_files, url_templates, vector_codes
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,14 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, folder, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -77,6 +85,8 @@ def queries() -> dict[str, Query]:
         "op8_surrogates": op8_surrogates,
         "op9_url_templates": op9_url_templates,
         "op10_near_dedup": op10_near_dedup,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_vector_codes": op12_vector_codes,
     }
 
 
@@ -87,4 +97,6 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
         """,
+        "op11_filter_audit": filter_audit.AUDIT_SQL,
+        "op12_vector_codes": vector_codes.codes_sql(),
     }
