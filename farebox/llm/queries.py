@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
-from . import exact_dedup, filter_audit, multiset_hash, near_dedup, packing, piece_codec, quality, surrogates
-from . import token_counts, token_files, url_templates, vector_codes
+from . import exact_dedup, filter_audit, multiset_hash, near_dedup, packing, parity_join, piece_codec, quality
+from . import surrogates, token_counts, token_files, url_templates, vector_codes
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, folder, "embeddings"))
 
 
+def op13_parity_join(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_join.near_sets(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -87,6 +91,7 @@ def queries() -> dict[str, Query]:
         "op10_near_dedup": op10_near_dedup,
         "op11_filter_audit": op11_filter_audit,
         "op12_vector_codes": op12_vector_codes,
+        "op13_parity_join": op13_parity_join,
     }
 
 
@@ -99,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         """,
         "op11_filter_audit": filter_audit.AUDIT_SQL,
         "op12_vector_codes": vector_codes.codes_sql(),
+        "op13_parity_join": parity_join.JOIN_SQL,
     }
