@@ -431,13 +431,14 @@ def close_pairs(left: np.ndarray, right: np.ndarray, words: list[np.ndarray], si
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-_NEAR = "a long, b long, cut boolean"
+_NEAR = "bucket long, a long, b long, cut boolean"
 
 
 def _candidates(lists: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     """Pairs of different classes in one bucket whose sketches allow a link.
 
-    Of each two classes a block reports the ``limit`` closest pairs and says in ``cut`` if it has more.
+    Of each two classes a block reports the ``limit`` closest pairs and says in ``cut`` if it has more, so
+    a bucket without ``cut`` has no further pairs.
     """
     rows = lists.select("bucket", "leader", F.explode("members").alias("node")).join(
         known.select("node", "size", "class"), "node")
@@ -490,10 +491,11 @@ def _candidates(lists: DataFrame, known: DataFrame, limit: int) -> DataFrame:
         rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.append(heads, len(low))))
         kept = rank < limit
         cut = np.full(int(kept.sum()), bool((~kept).any()))
-        return pa.table([pa.array(first[kept]), pa.array(second[kept]), pa.array(cut)], ["a", "b", "cut"])
+        bucket = np.full(len(cut), key[0].as_py(), np.int64)
+        return pa.table(
+            [pa.array(c) for c in (bucket, first[kept], second[kept], cut)], ["bucket", "a", "b", "cut"])
 
-    pairs = cells.groupBy("bucket", "i", "j").applyInArrow(compare, _NEAR)
-    return pairs.groupBy("a", "b").agg(F.bool_or("cut").alias("cut"))
+    return cells.groupBy("bucket", "i", "j").applyInArrow(compare, _NEAR)
 
 
 def near_sets(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
@@ -519,19 +521,21 @@ def near_sets(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     if few.take(1):
         links = staged(links.unionByName(_checked(docs, nodes, _with_band(few, nodes))), "links")
 
-    limit = 4
+    limit, open_lists = 4, lists
     while True:
         classes = components(links)
         known = nodes.join(classes, "node", "left").select(
             "node", "size", "sketch", "doc_id", F.coalesce("root", "node").alias("class"))
-        found = staged(_candidates(lists, known, limit), "candidates")
+        found = staged(_candidates(open_lists, known, limit), "candidates")
         if not found.take(1):
             break
-        more = _checked(docs, nodes, found.select("a", "b"))
+        more = _checked(docs, nodes, found.select("a", "b").distinct())
         links = staged(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
         if not found.where("cut").take(1):
             classes = components(links)
             break
+        # Only buckets with more pairs than were reported are looked at again.
+        open_lists = lists.join(found.where("cut").select("bucket").distinct(), "bucket", "left_semi")
         limit *= 8
 
     named = nodes.join(classes, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("class"))
