@@ -17,8 +17,14 @@ import pyarrow as pa
 
 from .common import gather, text_bytes
 
-# Distinct chunks a worker remembers before it starts anew, about 200 bytes each.
-REMEMBERED = 1_200_000
+# Bytes of distinct chunks, their ids and what holds them that a worker remembers before it starts anew.
+REMEMBERED_BYTES = 96 << 20
+# What a remembered chunk takes besides its own bytes and four for each id.
+CHUNK_BYTES = 150
+# Longer chunks are encoded wherever they occur and not remembered.
+LONGEST = 256
+# The library gets so many bytes of chunks at once.
+LEARNED_BYTES = 1 << 20
 
 _SPACE, _ALNUM, _PUNCT, _OTHER = 0, 1, 2, 3
 
@@ -65,26 +71,37 @@ class ChunkCache:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.held_bytes = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.lengths = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    def _append(self, chunks: list[bytes], first: int) -> None:
+        """Ids of chunks, in the slots from ``first`` on; the library's own objects live for one part."""
+        sizes = np.cumsum([len(c) for c in chunks])
+        cuts = np.searchsorted(sizes, np.arange(LEARNED_BYTES, sizes[-1] + LEARNED_BYTES, LEARNED_BYTES)) + 1
+        done = 0
+        for end in np.unique(np.minimum(cuts, len(chunks))).tolist():
+            encoded = self.encode_chunks([c.decode("utf-8", "replace") for c in chunks[done:end]])
+            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            ids = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
+            while first + end > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.used:self.used + len(ids)] = ids
+            self.starts[first + done:first + end] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[first + done:first + end] = lengths
+            self.used += len(ids)
+            done = end
+
     def _learn(self, chunks: list[bytes]) -> None:
-        encoded = self.encode_chunks([c.decode("utf-8", "replace") for c in chunks])
-        first, last = len(self.known), len(self.known) + len(chunks)
-        self.known.update(zip(chunks, range(first, last)))
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        ids = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
-        while last > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first:last] = lengths
-        self.used += len(ids)
+        first, used = len(self.known), self.used
+        self._append(chunks, first)
+        self.known.update(zip(chunks, range(first, first + len(chunks))))
+        self.held_bytes += sum(map(len, chunks)) + CHUNK_BYTES * len(chunks) + 4 * (self.used - used)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids start and the last one's end."""
@@ -98,18 +115,28 @@ class ChunkCache:
             None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         distinct = chunks.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
+        if self.held_bytes > REMEMBERED_BYTES:
             self.forget()
-        missing = [c for c in distinct if c not in self.known]
+        missing = [c for c in distinct if len(c) <= LONGEST and c not in self.known]
         if missing:
             self._learn(missing)
-        slots = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        # Long chunks take the slots and the room after what is remembered, until the next call.
+        kept, long = self.used, [c for c in distinct if len(c) > LONGEST]
+        if long:
+            self._append(long, len(self.known))
+        above = iter(range(len(self.known), len(self.known) + len(long)))
+        slots = np.fromiter(
+            (self.known[c] if len(c) <= LONGEST else next(above) for c in distinct), np.int64, len(distinct))
         slots = slots[chunks.indices.to_numpy(zero_copy_only=False)]
         lengths = self.lengths[slots]
         before = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[gather(self.starts[slots], lengths)]
+        self.used = kept
+        if long and len(self.flat) > max(1 << 20, 4 * kept):
+            self.flat = self.flat[:max(1 << 16, kept)].copy()
         return ids, before[np.searchsorted(starts, offsets)]
 
+
 class CachedEncoder(ChunkCache):
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
