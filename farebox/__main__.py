@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from .functions.months import month_span, parse_month
 from .functions.scalar import utc_now
 from .operators import quality
+from .operators.clean import violation_counts
 from .operators.views import register_views
 from .plans import jobs
-from .schema import LEDGER_TABLE, PUBLICATION_LAG_MONTHS
+from .schema import LEDGER_TABLE, MONTH_COLUMN, PUBLICATION_LAG_MONTHS, TABLE_COLUMNS
 from .session import build_session
+from .sources import arrow_sink
 from .sources.ledger import RunLedger
-from .sources.tables import Layout, TripTable
+from .sources.tables import LAYOUTS, Layout, TripTable, read_quarantine
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -25,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--table", required=True, help="path of the trip table")
     parser.add_argument("--ledger", required=True, help="path of the run ledger")
     parser.add_argument("--summary", default=None, help="path of the stored summary, if kept")
+    parser.add_argument("--quarantine", default=None, help="path for rejected trips, if kept")
     parser.add_argument("--raw", default=None, help="folder of the raw month files")
     commands = parser.add_subparsers(dest="command", required=True)
     commands.add_parser("create", help="create an empty trip table")
@@ -40,12 +43,17 @@ def _parser() -> argparse.ArgumentParser:
     watch = commands.add_parser("watch", help="load months whose files are new")
     watch.add_argument("--checkpoint", default=None)
     for loading in (load, fill, due, watch):
-        loading.add_argument("--layout", choices=["as_read", "rebalance"], default="as_read")
+        loading.add_argument("--layout", choices=LAYOUTS, default="as_read")
         loading.add_argument("--sort-by-time", action="store_true", help="sort each file by pickup")
         loading.add_argument("--max-records-per-file", type=int, default=0)
     drop = commands.add_parser("delete", help="delete months from the trip table")
     drop.add_argument("--from", dest="first", required=True, help="YYYY-MM")
     drop.add_argument("--to", dest="last", required=True, help="YYYY-MM")
+    out = commands.add_parser("export", help="export the trips as CSV files")
+    out.add_argument("folder")
+    out.add_argument("--from", dest="first", default=None, help="YYYY-MM")
+    out.add_argument("--to", dest="last", default=None, help="YYYY-MM, the same as --from by default")
+    commands.add_parser("rejected", help="rejected trips per month and broken rules")
     gate = commands.add_parser("quality", help="quality gate for one month")
     gate.add_argument("month", help="YYYY-MM")
     commands.add_parser("health", help="health checks")
@@ -58,7 +66,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def _report(result: jobs.LoadResult) -> None:
     for month, rows in sorted(result.rows.items()):
-        print(f"{month:%Y-%m}  {rows:,} rows of {result.raw[month]:,}")
+        apart = f", {result.quarantined[month]:,} rejected" if result.quarantined else ""
+        print(f"{month:%Y-%m}  {rows:,} rows of {result.raw[month]:,}{apart}")
     for month in result.missing:
         print(f"{month:%Y-%m}  no file, skipped")
     for entry in result.rejected:
@@ -87,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
         parser.error(f"{args.command} needs --raw")
     layout = Layout(args.layout, args.max_records_per_file, args.sort_by_time) if loads else None
     spark = build_session("farebox", args.master)
-    store = jobs.Store(args.table, args.ledger, args.summary)
+    store = jobs.Store(args.table, args.ledger, args.summary, args.quarantine)
     table = TripTable(spark, store.table)
     match args.command:
         case "create":
@@ -105,8 +114,18 @@ def main(argv: list[str] | None = None) -> int:
         case "delete":
             for month in jobs.delete_months(spark, store, month_span(args.first, args.last)):
                 print(f"{month:%Y-%m}  deleted")
+        case "export":
+            months = month_span(args.first, args.last or args.first) if args.first else None
+            trips = table.read(months).select(*TABLE_COLUMNS)
+            parts = arrow_sink.export_partitions(trips, args.folder)
+            print(f"{sum(p.rows for p in parts):,} rows in {len(parts)} files")
+        case "rejected":
+            if not args.quarantine:
+                parser.error("rejected needs --quarantine")
+            kept = read_quarantine(spark, args.quarantine)
+            _print_rows(violation_counts(kept, MONTH_COLUMN).orderBy(MONTH_COLUMN, "broken"))
         case "quality":
-            rows = quality.require_quality(table.read(), parse_month(args.month))
+            rows = jobs.require_table_quality(spark, store, parse_month(args.month))
             print(f"passed: {rows:,} rows, no fare out of range")
         case "health":
             report = quality.health_report(

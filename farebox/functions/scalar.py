@@ -76,3 +76,13 @@ def number(value: Column) -> Column:
 
 def elapsed_hours(later: Column, earlier: Column) -> Column:
     return (F.unix_timestamp(later) - F.unix_timestamp(earlier)) / 3600
+
+
+def interleave(a: Column, b: Column, bits: int) -> Column:
+    """The lowest ``bits`` bits of two integers taken in turn: near in this order is near in both."""
+    out = F.lit(0)
+    for k in range(bits):
+        for column, place in ((a, 2 * k + 1), (b, 2 * k)):
+            bit = F.shiftright(column, k).bitwiseAND(F.lit(1))
+            out = out.bitwiseOR(F.shiftleft(bit, place))
+    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.scalar import ratio, round_half_up
+from ..functions.scalar import as_timestamp, ratio, round_half_up
 from .summary import mean, rounded_mean, summarise
 from .views import driver_revenue, hourly_stats, monthly_trend, weekday_stats
 
@@ -95,15 +95,27 @@ def weekday_tip_corr(source: DataFrame) -> DataFrame:
 
 
 def revenue_mom(source: DataFrame) -> DataFrame:
-    """Change of monthly revenue against the month before it in the data, in percent.
+    """Change of monthly revenue against the calendar month before, in percent.
 
-    The window has no partition key; it sees one row per month.
+    A month without trips between the first and the last one is a row without revenue, and neither it
+    nor the month after it has a change. The window has no partition key; it sees one row per month.
     """
-    previous = F.lag("total_revenue").over(Window.orderBy("month"))
-    return monthly_trend(source, ordered=False).select(
-        "month", "total_revenue",
-        round_half_up((ratio(F.col("total_revenue"), previous) - 1) * 100, 2).alias("change_pct"),
-    )
+    order = Window.orderBy("month")
+    rows = monthly_trend(source, ordered=False).select(
+        F.col("month").cast("date").alias("month"), "total_revenue",
+        F.lag("month").over(order).cast("date").alias("before"), F.lag("total_revenue").over(order).alias("previous"),
+        F.lead("month").over(order).cast("date").alias("after"))
+    adjacent = F.col("before") == F.add_months("month", -1)
+    change = F.when(adjacent, round_half_up((ratio(F.col("total_revenue"), F.col("previous")) - 1) * 100, 2))
+    # Each month brings the empty ones that follow it.
+    last = F.coalesce(F.add_months("after", -1), F.col("month"))
+    dense = rows.select(
+        "month", "total_revenue", change.alias("change_pct"),
+        F.explode(F.sequence("month", last, F.expr("INTERVAL 1 MONTH"))).alias("shown"))
+    own = F.col("shown") == F.col("month")
+    return dense.select(
+        as_timestamp(F.col("shown")).alias("month"), F.when(own, F.col("total_revenue")).alias("total_revenue"),
+        F.when(own, F.col("change_pct")).alias("change_pct"))
 
 
 def best_hour_per_weekday(source: DataFrame) -> DataFrame:

@@ -37,11 +37,16 @@ def quality_gate(trips: DataFrame, month: date) -> DataFrame:
 def require_quality(trips: DataFrame, month: date) -> int:
     """Run the gate, raise if it fails, return the month's rows."""
     result = quality_gate(trips, month).first()
-    if result.month_rows == 0:
+    return pass_quality(month, result.month_rows, result.bad_fares)
+
+
+def pass_quality(month: date, rows: int, bad: int) -> int:
+    """The gate's verdict on its two counts: the month's rows, or an error."""
+    if rows == 0:
         raise ValueError(f"{month:%Y-%m} has no rows")
-    if result.bad_fares > 0:
-        raise ValueError(f"{result.bad_fares} fares out of range")
-    return result.month_rows
+    if bad > 0:
+        raise ValueError(f"{bad} fares out of range")
+    return rows
 
 
 def _at(moment: datetime | None, frame: DataFrame, column: str) -> Column:
@@ -86,8 +91,9 @@ def average_fare(trips: DataFrame) -> DataFrame:
 
 
 def last_run(ledger: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """The latest ledger row and its age; only its status decides. No row, no result."""
-    latest = ledger.orderBy(F.desc_nulls_last("created_at"), F.desc("id")).limit(1)
+    """The latest run of the ledger and its age; only its status decides. No run, no result."""
+    runs = ledger.where(~F.col("status").eqNullSafe(S.DELETED))
+    latest = runs.orderBy(F.desc_nulls_last("created_at"), F.desc("id")).limit(1)
     moment = _at(as_of, ledger, "created_at")
     return latest.select(
         "id", "status", "created_at",

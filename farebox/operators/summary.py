@@ -2,12 +2,13 @@
 
 ``summarise`` takes either trips or an earlier, finer summary and returns one row per key. Sums
 and counts merge, averages do not: this is what lets one pass over the trips, or a small stored
-summary per month, feed all views.
+summary per month, feed all views. The full summary holds each month twice, in two *grains*: by hour
+and weekday, and by distance; both come from one scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,8 +24,12 @@ MEASURES = {
     "distance": "trip_distance",
 }
 
-#: Finest keys the views need: at most 168 rows a month.
+#: Finest keys the views of time need: at most 168 rows a month.
 SUMMARY_KEYS = (MONTH_COLUMN, "pickup_hour", "pickup_weekday")
+#: Key of the view of distances: one row a month for every tenth of a mile that occurs.
+DISTANCE_KEY = "distance_bucket"
+#: Which of the two a row of the full summary belongs to.
+GRAIN, TIME, DISTANCE = "grain", "time", "distance"
 
 _MICRO = 1_000_000
 
@@ -38,7 +43,7 @@ def _key(frame: DataFrame, name: str) -> Column:
         return F.col(name)
     if name == MONTH_COLUMN:
         return scalar.month_start(F.col("tpep_pickup_datetime")).alias(name)
-    if name == "distance_bucket":
+    if name == DISTANCE_KEY:
         return scalar.distance_bucket(F.col("trip_distance")).alias(name)
     raise ValueError(f"no such key: {name}")
 
@@ -53,26 +58,53 @@ def summarise(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     units. It is kept as whole units (integers, exact in a double up to 2^53) plus millionths (an
     exact bigint), which costs a tenth of a decimal sum.
     """
+    if GRAIN in frame.columns:
+        frame = frame.where(F.col(GRAIN) == (DISTANCE if DISTANCE_KEY in keys else TIME))
+    return frame.groupBy(*[_key(frame, k) for k in keys]).agg(*_sums(frame))
+
+
+def _sums(frame: DataFrame) -> list[Column]:
     if is_summary(frame):
         columns = ["trip_count", "revenue_whole", "revenue_micro"]
         columns += [f"{kind}_{m}" for m in MEASURES for kind in ("sum", "n")]
-        aggregates = [F.sum(c).alias(c) for c in columns]
-    else:
-        total = F.col(MEASURES["total"])
-        # NaN for an infinite total, which then stays in the whole part.
-        fraction = F.nanvl(total % 1, F.lit(0.0))
-        aggregates = [
-            F.count(F.lit(1)).alias("trip_count"),
-            F.sum(total - fraction).alias("revenue_whole"),
-            F.sum(F.rint(fraction * _MICRO).cast("bigint")).alias("revenue_micro"),
-        ]
-        for name, column in MEASURES.items():
-            aggregates += [F.sum(column).alias(f"sum_{name}"), F.count(column).alias(f"n_{name}")]
-    return frame.groupBy(*[_key(frame, k) for k in keys]).agg(*aggregates)
+        return [F.sum(c).alias(c) for c in columns]
+    total = F.col(MEASURES["total"])
+    # NaN for an infinite total, which then stays in the whole part.
+    fraction = F.nanvl(total % 1, F.lit(0.0))
+    aggregates = [
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum(total - fraction).alias("revenue_whole"),
+        F.sum(F.rint(fraction * _MICRO).cast("bigint")).alias("revenue_micro"),
+    ]
+    for name, column in MEASURES.items():
+        aggregates += [F.sum(column).alias(f"sum_{name}"), F.count(column).alias(f"n_{name}")]
+    return aggregates
 
 
 def trip_summary(trips: DataFrame) -> DataFrame:
-    return summarise(trips, SUMMARY_KEYS)
+    """The full summary of trips, both grains in one pass of grouping sets."""
+    keys = [*SUMMARY_KEYS, DISTANCE_KEY]
+    keyed = trips.select(*[_key(trips, k) for k in keys], *MEASURES.values())
+    sets = [list(SUMMARY_KEYS), [MONTH_COLUMN, DISTANCE_KEY]]
+    rows = keyed.groupingSets(sets, *keys).agg(*_sums(keyed), F.grouping(DISTANCE_KEY).alias("by_time"))
+    grain = F.when(F.col("by_time") == 1, TIME).otherwise(DISTANCE)
+    return rows.withColumn(GRAIN, grain).drop("by_time")
+
+
+def merge_sets(summary: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """A full summary grouped by several sets of keys at once; ``view`` names the set of a row.
+
+    Each set belongs to the grain that has its keys; the rows of the other grain are left out of it.
+    """
+    keys = [*SUMMARY_KEYS, DISTANCE_KEY]
+    rows = summary.groupingSets([[GRAIN, *s] for s in sets.values()], GRAIN, *keys).agg(
+        *_sums(summary), F.grouping_id().alias("left_out"))
+    view = F.lit(None).cast("string")
+    for name, own in sets.items():
+        left_out = sum(1 << len(keys) - 1 - i for i, k in enumerate(keys) if k not in own)
+        grain = DISTANCE if DISTANCE_KEY in own else TIME
+        view = F.when((F.col("left_out") == left_out) & (F.col(GRAIN) == grain), name).otherwise(view)
+    return rows.withColumn("view", view).where("view is not null")
 
 
 def mean(measure: str) -> Column:

@@ -5,17 +5,18 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.months import month_span, months_of_year, target_month
-from ..functions.scalar import timestamp_literal, utc_now
-from ..operators.clean import clean
-from ..operators.quality import require_quality
-from ..operators.summary import trip_summary
-from ..schema import MONTH_COLUMN, PUBLICATION_LAG_MONTHS
+from ..functions.scalar import utc_now
+from ..operators.clean import clean, judge
+from ..operators.quality import pass_quality
+from ..operators.summary import GRAIN, TIME, trip_summary
+from ..schema import DELETED, MAX_FARE, MONTH_COLUMN, PUBLICATION_LAG_MONTHS
+from ..sources.footers import FooterChecks
 from ..sources.ledger import RunLedger
 from ..sources.raw import Rejected, find_months, read_months
 from ..sources.tables import Layout, TripTable, replace_partitions
@@ -23,22 +24,30 @@ from ..sources.tables import Layout, TripTable, replace_partitions
 
 @dataclass(frozen=True)
 class Store:
-    """Where the trip table, the run ledger and, if kept, the stored summary live."""
+    """Where the trip table, the run ledger and, if kept, the stored summary and rejected rows live.
+
+    The quarantine is on the table's file system, as its months are published by the same renames.
+    """
 
     table: str
     ledger: str
     summary: str | None = None
+    quarantine: str | None = None
 
 
 @dataclass
 class LoadResult:
-    """What a load did; ``raw`` counts the rows of the files, ``nulled`` values lost to a cast."""
+    """What a load did.
+
+    ``raw`` counts the rows of the files, ``quarantined`` those kept apart, ``nulled`` values lost to a cast.
+    """
 
     rows: dict[date, int] = field(default_factory=dict)
     missing: list[date] = field(default_factory=list)
     rejected: list[Rejected] = field(default_factory=list)
     raw: dict[date, int] = field(default_factory=dict)
     nulled: dict[str, int] = field(default_factory=dict)
+    quarantined: dict[date, int] = field(default_factory=dict)
     summary_error: str | None = None
     seconds: float = 0.0
 
@@ -68,15 +77,16 @@ def load_months(
     """Clean the months and put them in place of what the table holds for them.
 
     Months without a file, with a part that lacks a column or cannot be read, or without a valid row
-    keep their old rows. A failed load leaves the table as it was. The ledger gets a row for every
-    month, with what came of it. The stored summary is brought up to date afterwards; if that fails,
+    keep their old rows. New rows are staged, counted and checked before any month is replaced, so a
+    failed load leaves the table as it was; one that ends while months are being replaced is finished by
+    the next. The ledger gets a row for every month, with what came of it. The stored summary is brought up to date afterwards; if that fails,
     the load stands, the ledger says so, and readers take those months from the trips.
     """
     months = sorted(set(months))
     table, ledger = TripTable(spark, store.table), RunLedger(spark, store.ledger)
     started = time.monotonic()
     try:
-        result = _load(spark, raw_dir, table, months, layout)
+        result = _load(spark, raw_dir, store, table, months, layout)
     except Exception as error:
         ledger.record({m: ("failed", None, str(error)) for m in months})
         raise
@@ -93,36 +103,30 @@ def load_months(
 
 
 def _load(
-    spark: SparkSession, raw_dir: str, table: TripTable, months: Sequence[date], layout: Layout
+    spark: SparkSession, raw_dir: str, store: Store, table: TripTable, months: Sequence[date], layout: Layout
 ) -> LoadResult:
     files = find_months(spark, raw_dir, months)
     found = {f.month for f in files}
     result = LoadResult(missing=[m for m in months if m not in found])
     if not files:
         return result
-    raw = read_months(spark, files)
+    raw = read_months(spark, files, watch=True)
     result.rejected, result.raw = raw.rejected, raw.raw_rows
     accepted = sorted({f.month for f in raw.accepted})
     if not accepted:
         return result
 
-    stamp = utc_now()
+    trips = judge(raw.marked) if store.quarantine else clean(raw.trips)
+    staged = table.stage_months(trips, utc_now(), quarantine=store.quarantine, **asdict(layout))
     result.nulled = raw.misfit_counts()
-    written = table.replace_months(clean(raw.trips), loaded_at=stamp, **asdict(layout))
-    result.rows = dict.fromkeys(accepted, 0) | _loaded_rows(table, accepted, stamp)
-    if result.total != written:
-        raise RuntimeError(
-            f"months were replaced, but of {written} rows written the table holds {result.total}")
+    staged.audit(raw.raw_rows)
+    staged.publish(accepted)
+    result.rows = dict.fromkeys(accepted, 0) | staged.rows
+    if store.quarantine:
+        result.quarantined = dict.fromkeys(accepted, 0) | staged.rejected
     return result
 
 
-def _loaded_rows(table: TripTable, months: Sequence[date], stamp: datetime) -> dict[date, int]:
-    """Rows per month carrying this load's stamp; one short row per month reaches the driver."""
-    fresh = table.read(months).where(F.col("loaded_at") == timestamp_literal(stamp))
-    counts = fresh.groupBy(MONTH_COLUMN).agg(F.count(F.lit(1)).alias("n"))
-    return {row[MONTH_COLUMN]: row.n for row in counts.collect()}
-
-
 def refresh_summary(table: TripTable, path: str, months: Iterable[date]) -> None:
     """Bring the stored summary of these months up to date; other months are not read."""
     summary = trip_summary(table.read(months)).hint("rebalance", MONTH_COLUMN)
@@ -140,7 +144,9 @@ def read_summary(table: TripTable, path: str) -> DataFrame:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return trip_summary(table.read())
-    kept = stored.groupBy(MONTH_COLUMN).agg(F.sum("trip_count").alias("kept"))
+    if GRAIN not in stored.columns:  # kept by an earlier version
+        return trip_summary(table.read())
+    kept = stored.where(F.col(GRAIN) == TIME).groupBy(MONTH_COLUMN).agg(F.sum("trip_count").alias("kept"))
     both = kept.join(table.month_counts(), MONTH_COLUMN, "full").where(
         ~F.col("kept").eqNullSafe(F.col("trip_count")))
     stale = [row[MONTH_COLUMN] for row in both.select(MONTH_COLUMN).collect()]
@@ -167,8 +173,12 @@ def backfill(
 
 
 def delete_months(spark: SparkSession, store: Store, months: Iterable[date]) -> list[date]:
-    """Remove months from the table; a stored summary no longer counts for them."""
-    return TripTable(spark, store.table).delete_months(months)
+    """Remove months from the table and record it; a stored summary no longer counts for them."""
+    table, months = TripTable(spark, store.table), list(months)
+    held = {row[MONTH_COLUMN]: row.trip_count for row in table.month_counts(months).collect()}
+    deleted = table.delete_months(months)
+    RunLedger(spark, store.ledger).record({m: (DELETED, held.get(m), None) for m in deleted})
+    return deleted
 
 
 def scheduled_load(
@@ -188,5 +198,13 @@ def scheduled_load(
         raise ValueError(f"{month:%Y-%m} has no rows: its file holds no valid one")
     if status != "success":
         raise ValueError(f"{month:%Y-%m} was {status}: {reason}")
-    require_quality(TripTable(spark, store.table).read(), month)
+    require_table_quality(spark, store, month)
     return result
+
+
+def require_table_quality(spark: SparkSession, store: Store, month: date) -> int:
+    """The quality gate on the stored table; footers answer it where all fares are in range."""
+    table = TripTable(spark, store.table)
+    rows = table.month_counts([month]).first()
+    bad = FooterChecks(spark, store.table).outside("fare_amount", 0, MAX_FARE)
+    return pass_quality(month, rows.trip_count if rows else 0, bad)

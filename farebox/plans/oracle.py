@@ -169,10 +169,33 @@ _RULES = {
     "bad_duration_short": f"{_MINUTES} >= 1",
     "bad_duration_long": f"{_MINUTES} <= 180",
 }
+_BROKEN = " + ".join(
+    f"CASE WHEN coalesce({rule}, FALSE) THEN 0 ELSE {1 << k} END" for k, rule in enumerate(_RULES.values()))
+_VIOLATIONS = ", ".join(
+    f"CASE WHEN broken & {1 << k} <> 0 THEN '{name}' END" for k, name in enumerate([*_RULES, "foreign_month"]))
 _REJECTED = ",\n  ".join(
     f"COUNT(*) FILTER (WHERE NOT coalesce({rule}, FALSE)) AS {name}" for name, rule in _RULES.items()
 )
 
+_DISTANCES = f"""
+distances AS (
+  SELECT {_avg('trip_distance', 1)} AS avg_distance, COUNT(*) AS trip_count,
+         {_avg('total_amount', 2)} AS avg_revenue, {_avg('tip_rate', 4)} AS avg_tip_rate,
+         {_avg('trip_duration_min', 1)} AS avg_duration_min, {_PER_HOUR} AS revenue_per_hour
+  FROM clean GROUP BY ROUND(CAST(trip_distance AS DECIMAL(38, 10)), 1)
+)"""
+
+
+def _monthly_change(rows: str) -> str:
+    """Change against the calendar month before, over all months from the first to the last."""
+    return f"""{_with(_RAW, _CLEAN, _MONTHLY)}, held AS ({rows}),
+        months AS (SELECT CAST(unnest(generate_series(
+          (SELECT min(month) FROM held), (SELECT max(month) FROM held), INTERVAL 1 MONTH)) AS TIMESTAMP) AS month)
+        SELECT month, total_revenue,
+               {_round('(total_revenue / lag(total_revenue) OVER (ORDER BY month) - 1) * 100', 2)} AS change_pct
+        FROM months LEFT JOIN held USING (month)"""
+
+
 _GATE = f"""
 SELECT month_rows, bad_fares, month_rows > 0 AND bad_fares = 0 AS passed FROM (
   SELECT COUNT(*) FILTER (WHERE {_IN_MARCH}) AS month_rows,
@@ -223,6 +246,26 @@ def oracle_sql() -> dict[str, str]:
         "cleaning_report": f"""{_R} SELECT COUNT(*) AS raw_rows, {_REJECTED},
             COUNT(*) FILTER (WHERE {_AMOUNTS} AND {_PASSENGERS} AND {_DURATION}) AS clean_rows
             FROM raw""",
+        "quarantine": f"""{_R} SELECT * FROM (
+            SELECT {_COLUMNS}, {_MINUTES} AS trip_duration_min, {_HOUR} AS pickup_hour,
+                   {_WEEKDAY} AS pickup_weekday, {_TIP_RATE} AS tip_rate, CAST({_BROKEN} AS INTEGER) AS broken
+            FROM raw) WHERE broken <> 0""",
+        "violation_counts": f"""{_R} SELECT month, broken, concat_ws(',', {_VIOLATIONS}) AS violations,
+            COUNT(*) AS rejected FROM (
+              SELECT {_MONTH} AS month, CAST({_BROKEN}
+                + CASE WHEN month(tpep_pickup_datetime) % 2 = 0 THEN 0 ELSE 128 END AS INTEGER) AS broken
+              FROM raw) WHERE broken <> 0 GROUP BY ALL""",
+        "all_views": f"""{_with(_RAW, _CLEAN, _HOURLY, _BY_WEEKDAY, _MONTHLY, _DRIVER, _DISTANCES)}
+            SELECT * REPLACE (CAST(pickup_hour AS DOUBLE) AS pickup_hour) FROM (
+            SELECT 'v_hourly_stats' AS view, * FROM hourly
+            UNION ALL BY NAME SELECT 'v_weekday_stats' AS view, * FROM weekday
+            UNION ALL BY NAME SELECT 'v_monthly_trend' AS view, * FROM monthly
+            UNION ALL BY NAME SELECT 'v_driver_revenue' AS view, * FROM driver
+            UNION ALL BY NAME SELECT 'v_distance_revenue' AS view, * FROM distances)""",
+        "footer_checks": """SELECT COUNT(*) AS all_rows,
+            COUNT(*) FILTER (WHERE l_extendedprice <= 0 OR l_extendedprice > 100000) AS bad_prices,
+            COUNT(*) FILTER (WHERE l_extendedprice IS NULL) AS null_prices,
+            COUNT(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-06-01') AS late_rows FROM lineitem""",
         "hourly_stats": f"{_with(_RAW, _CLEAN, _HOURLY)} SELECT * FROM hourly ORDER BY 1, 2, 3",
         "weekday_stats": f"{_with(_RAW, _CLEAN, _BY_WEEKDAY)} SELECT * FROM weekday",
         "monthly_trend": f"{_with(_RAW, _CLEAN, _MONTHLY)} SELECT * FROM monthly ORDER BY 1",
@@ -290,10 +333,9 @@ def oracle_sql() -> dict[str, str]:
         "weekday_tip_corr": f"""{_with(_RAW, _CLEAN, _BY_WEEKDAY_REVENUE)}
             SELECT {_round('corr(avg_revenue, avg_tip_rate)', 6)} AS revenue_tip_corr
             FROM weekday_revenue""",
-        "revenue_mom": f"""{_with(_RAW, _CLEAN, _MONTHLY)} SELECT month, total_revenue,
-            {_round('(total_revenue / lag(total_revenue) OVER (ORDER BY month) - 1) * 100', 2)}
-              AS change_pct
-            FROM monthly""",
+        "revenue_mom": _monthly_change("SELECT * FROM monthly"),
+        "revenue_mom_gaps": _monthly_change("""SELECT * FROM monthly
+            WHERE NOT (month >= TIMESTAMP '1997-01-01' AND month < TIMESTAMP '1997-07-01')"""),
         "best_hour_per_weekday": f"""{_with(_RAW, _CLEAN, _DRIVER)}
             SELECT pickup_weekday, pickup_hour, revenue_per_hour, trip_count FROM (
               SELECT *, row_number() OVER (PARTITION BY pickup_weekday

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import scalar
 from ..functions.months import month_span, months_of_year
 from ..operators import clean as C, dashboards as D, joins as J, months as M, quality as Q, views as V
-from ..operators.summary import trip_summary
+from ..operators.summary import SUMMARY_KEYS, summarise
+from .. import schema as S
 from ..schema import MONTH_COLUMN, RAW_COLUMNS
 from ..session import shared_dir
 from ..sources import arrow_sink, raw as R
+from ..sources.files import Files
+from ..sources.footers import FooterChecks
 from . import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_MONTH = date(1998, 3, 1)
 FIRST_QUARTER = months_of_year(1997, "1-3")
 DELETED = month_span("1997-01", "1997-06")
+LATE = datetime(1998, 6, 1)
 
 
 def _raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -46,7 +50,7 @@ def _joined(join, right) -> Query:
     """Join the hourly view to a coarser one, both rolled up from the same summary."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        summary = trip_summary(C.clean(inputs.trips(spark, folder)))
+        summary = summarise(C.clean(inputs.trips(spark, folder)), SUMMARY_KEYS)
         return join(V.hourly_stats(summary, ordered=False), right(summary, ordered=False))
 
     return query
@@ -57,11 +61,20 @@ def _scan_multi_month(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _arrow_partition_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Every partition written as CSV through Arrow, and the rows the writers took."""
+    """Every partition exported as CSV through Arrow, and the rows of the committed parts."""
     target = f"{shared_dir(spark)}/arrow-csv-{uuid.uuid4().hex}"
-    writer = arrow_sink.csv_writer(target)
-    trips = C.clean(inputs.trips(spark, folder))
-    return arrow_sink.total_rows(arrow_sink.write_partitions(trips, writer))
+    parts = arrow_sink.export_partitions(C.clean(inputs.trips(spark, folder)), target)
+    Files(spark).delete(target)
+    return arrow_sink.total_rows(spark.createDataFrame([(p.name, p.rows) for p in parts], "name string, rows long"))
+
+
+def _footer_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices out of range, NULL prices and late shipments, from footers as far as they tell."""
+    checks = FooterChecks(spark, f"{folder}/lineitem.parquet")
+    counts = (
+        checks.rows("l_extendedprice"), checks.outside("l_extendedprice", 0, 100 * S.MAX_FARE),
+        checks.nulls("l_extendedprice"), checks.since("l_shipdate", LATE))
+    return spark.createDataFrame([counts], "all_rows long, bad_prices long, null_prices long, late_rows long")
 
 
 def _schema_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,6 +96,14 @@ def _replace_month(trips: DataFrame) -> DataFrame:
     return M.replace_months(trips, again, [ONE_MONTH])
 
 
+def _violation_counts(trips: DataFrame) -> DataFrame:
+    """Broken rules per month; trips of odd months count as picked up in a foreign one."""
+    month = scalar.month_start(F.col("tpep_pickup_datetime"))
+    marked = trips.withColumns({"own_month": F.month(month) % 2 == 0, MONTH_COLUMN: month})
+    counts = C.violation_counts(C.judge(marked), MONTH_COLUMN)
+    return counts.withColumn("month", scalar.as_timestamp(F.col(MONTH_COLUMN))).drop(MONTH_COLUMN)
+
+
 def _coverage(operator) -> Query:
     """Loaded months against all months up to the end of the last year."""
 
@@ -139,15 +160,20 @@ def queries() -> dict[str, Query]:
         "filter_duration": _raw(lambda t: t.where(C.valid_duration())),
         "clean_trips": _clean(lambda t: t),
         "cleaning_report": _raw(C.cleaning_report),
+        "quarantine": _raw(lambda t: C.judge(t).where("broken <> 0")),
+        "violation_counts": _raw(_violation_counts),
         # Views
         "hourly_stats": _clean(V.hourly_stats),
         "weekday_stats": _clean(V.weekday_stats),
         "monthly_trend": _clean(V.monthly_trend),
         "driver_revenue": _clean(V.driver_revenue),
         "distance_revenue": _clean(V.distance_revenue),
+        # The hour is NULL in some views; a double keeps that in any data frame library.
+        "all_views": _clean(lambda t: V.all_views(t).withColumn("pickup_hour", F.col("pickup_hour").cast("double"))),
         # Checks
         "month_row_count": _clean(lambda t: M.month_row_count(t, ONE_MONTH)),
         "quality_gate": _clean(lambda t: Q.quality_gate(t, ONE_MONTH)),
+        "footer_checks": _footer_checks,
         "quality_gate_raw": _raw(lambda t: Q.quality_gate(t, ONE_MONTH)),
         "health_freshness": lambda spark, folder: Q.freshness(
             inputs.table(spark, folder, "events"), "ts"),
@@ -174,6 +200,7 @@ def queries() -> dict[str, Query]:
         "weekpart_revenue": _clean(D.weekpart_revenue),
         "weekday_tip_corr": _clean(D.weekday_tip_corr),
         "revenue_mom": _clean(D.revenue_mom),
+        "revenue_mom_gaps": _clean(lambda t: D.revenue_mom(M.delete_month_range(t, DELETED))),
         "best_hour_per_weekday": _clean(D.best_hour_per_weekday),
         "top_revenue_slots": _clean(D.top_revenue_slots),
     }

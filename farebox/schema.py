@@ -58,6 +58,9 @@ TABLE_SCHEMA = T.StructType(
     + [T.StructField("loaded_at", T.TimestampNTZType()), T.StructField(MONTH_COLUMN, T.DateType())]
 )
 
+#: Ledger status of a month taken out of the table; such a row is no run.
+DELETED = "deleted"
+
 #: One row per month and load. ``rows_loaded`` is 64-bit: a month may pass 2^31 rows.
 LEDGER_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),

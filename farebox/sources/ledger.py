@@ -1,4 +1,9 @@
-"""The run ledger: one appended row per requested month and load, whatever came of it."""
+"""The run ledger: one appended row per requested month and load, whatever came of it.
+
+A load adds one small file. When there are many, they are merged into one: the merged file appears by a
+rename, then the others go. In between, or if that is interrupted, rows are there twice under the same id,
+and readers count an id once. Files that have grown large are left as they are.
+"""
 
 from __future__ import annotations
 
@@ -10,16 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scalar import utc_now
 from ..schema import LEDGER_SCHEMA
+from .files import Files
+
+# Small files that may pile up before they are merged, and what counts as small.
+COMPACT_FILES, SMALL_BYTES = 64, 32 << 20
 
 
 class RunLedger:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, compact_files: int = COMPACT_FILES):
         self.spark = spark
         self.path = path
+        self.compact_files = compact_files
 
     def read(self) -> DataFrame:
         try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).dropDuplicates(["id"])
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -49,3 +59,26 @@ class RunLedger:
             for month, loaded, status, error, seconds in entries
         ]
         self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.compact()
+
+    def _small(self, files: Files) -> list[str]:
+        names = [f"{self.path}/{n}" for n in files.names(self.path) if n.endswith(".parquet")]
+        return [n for n in names if files.bytes(n) < SMALL_BYTES] if len(names) > self.compact_files else []
+
+    def compact(self) -> int:
+        """Merge small files if there are too many of them, and return how many were."""
+        files = Files(self.spark)
+        small = self._small(files)
+        if len(small) <= self.compact_files:
+            return 0
+        merging = f"{self.path}/_merging-{uuid.uuid4().hex}"
+        rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(*small).dropDuplicates(["id"])
+        rows.coalesce(1).write.parquet(merging)
+        for name in files.names(merging):
+            if name.endswith(".parquet"):
+                files.move(f"{merging}/{name}", f"{self.path}/merged-{name}")
+        for name in small:
+            files.delete(name)
+        files.delete(merging)
+        self.spark.catalog.refreshByPath(self.path)
+        return len(small)

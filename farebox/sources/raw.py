@@ -9,22 +9,24 @@ grows with the number of distinct schemas, not with the number of months.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.months import month_bounds
-from ..schema import RAW_COLUMNS, TRIP_SCHEMA
+from ..functions.scalar import month_start
+from ..schema import MONTH_COLUMN, RAW_COLUMNS, TRIP_SCHEMA
 
 #: Finds the month in a path; the part before it is the month's own file or directory.
 MONTH_IN_PATH = r"^(.*?(\d{4}-(?:0[1-9]|1[0-2]))\.parquet)(?:/|$)"
 
-# Tasks that read footers.
-_FOOTER_TASKS = 64
+# Footers that a task reads, and tasks at most.
+_FOOTERS_PER_TASK, _FOOTER_TASKS = 16, 2_000
 
 
 @dataclass(frozen=True, order=True)
@@ -51,22 +53,27 @@ class Rejected:
 
 @dataclass
 class RawMonths:
-    """Normalised trips of the accepted months, and what the schema gate turned away."""
+    """Normalised trips of the accepted months, and what the schema gate turned away.
+
+    ``trips`` are those picked up in the month of their file. ``marked`` are all rows of the files, with
+    ``own_month`` for that test and ``pickup_month`` for the file's month.
+    """
 
     trips: DataFrame
+    marked: DataFrame
     accepted: list[MonthFile]
     rejected: list[Rejected]
     raw_rows: dict[date, int] = field(default_factory=dict)
-    casts: list[DataFrame] = field(default_factory=list)
+    watched: list[Observation] = field(default_factory=list)
 
     def misfit_counts(self) -> dict[str, int]:
-        """Values per column that did not fit its type and became NULL.
+        """Values per column that did not fit its type and became NULL, in files that were watched.
 
-        Only columns whose type may not fit are read; where all types do, nothing is.
+        They are counted by the job that read the rows, so this waits for it.
         """
         counts: dict[str, int] = {}
-        for frame in self.casts:
-            for name, n in frame.first().asDict().items():
+        for seen in self.watched:
+            for name, n in seen.get.items():
                 counts[name] = counts.get(name, 0) + n
         return {name: n for name, n in counts.items() if n}
 
@@ -84,7 +91,7 @@ def path_month(path: Column) -> Column:
     return F.to_date(F.concat(F.regexp_extract(path, MONTH_IN_PATH, 2), F.lit("-01")))
 
 
-def _listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
+def listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """Parquet files under ``root``.
 
     The binary-file source lists on any file system Spark can read, and reads no file content as
@@ -104,12 +111,12 @@ def listed_months(
     spark: SparkSession, root: str, months: Iterable[date] | None = None
 ) -> DataFrame:
     """``(month, path, uri)``, one row per month found under ``root``, all or the wanted ones."""
-    listing = _listing(spark, root)
+    files = listing(spark, root)
     if months is not None:
         names = "|".join(sorted(f"{m:%Y-%m}" for m in set(months))) or "(?!)"
-        listing = listing.where(F.col("uri").rlike(rf"(?:{names})\.parquet(?:/|$)"))
+        files = files.where(F.col("uri").rlike(rf"(?:{names})\.parquet(?:/|$)"))
     return (
-        listing
+        files
         .where(F.col("uri").rlike(MONTH_IN_PATH))
         .select(path_month(F.col("path")).alias("month"),
                 *[F.regexp_extract(c, MONTH_IN_PATH, 1).alias(c) for c in ("path", "uri")])
@@ -153,8 +160,8 @@ def _in_utc(column: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def misfits(raw: DataFrame) -> DataFrame | None:
-    """How many values of each column do not fit its type; None where every value does."""
+def misfits(raw: DataFrame) -> list[Column]:
+    """Counts of the values that do not fit their type, of the columns where that may be."""
     types = {f.name.lower(): f.dataType for f in raw.schema}
     whole = (T.ByteType, T.ShortType, T.IntegerType)
     numbers = (*whole, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -167,7 +174,7 @@ def misfits(raw: DataFrame) -> DataFrame | None:
             column = F.col(source)
             lost = column.isNotNull() & column.try_cast(target.dataType).isNull()
             counts.append(F.count_if(lost).alias(target.name))
-    return raw.agg(*counts) if counts else None
+    return counts
 
 
 def missing_columns(schema: T.StructType) -> tuple[str, ...]:
@@ -175,19 +182,31 @@ def missing_columns(schema: T.StructType) -> tuple[str, ...]:
     return tuple(c for c in RAW_COLUMNS if c not in present)
 
 
-def _footer(path: str) -> dict:
-    """Rows, missing columns and types of a part file, or why it cannot be read."""
+def footer_tasks(files: DataFrame) -> int:
+    """Tasks to read the footers of a listing; the driver has the listing, so no job is run."""
+    return max(1, min(_FOOTER_TASKS, -(-len(files.inputFiles()) // _FOOTERS_PER_TASK)))
+
+
+@contextmanager
+def open_parquet(path: str):
+    """A file by the path its rows' metadata spell; used on executors."""
     import pyarrow.parquet as pq
     from pyarrow import fs
-    from pyspark.sql.pandas.types import from_arrow_type
 
     # Row metadata spell local paths with one slash and escape what a URI must escape.
     scheme, _, rest = path.partition(":/")
     local = scheme == "file"
-    found = (fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))) if local else fs.FileSystem.from_uri(path)
+    system, name = (fs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))) if local else fs.FileSystem.from_uri(path)
+    with system.open_input_file(name) as source:
+        yield pq.ParquetFile(source)
+
+
+def _footer(path: str) -> dict:
+    """Rows, missing columns and types of a part file, or why it cannot be read."""
+    from pyspark.sql.pandas.types import from_arrow_type
+
     try:
-        with found[0].open_input_file(found[1]) as source:
-            file = pq.ParquetFile(source)
+        with open_parquet(path) as file:
             types = {}
             for name, kind in zip(file.schema_arrow.names, file.schema_arrow.types):
                 if name.lower() in RAW_COLUMNS:
@@ -219,9 +238,9 @@ def _footers(spark: SparkSession, root_files: Sequence[MonthFile]) -> list:
                 pa.array([o["error"] for o in out], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["path", "uri", "root", "rows", "missing", "ddl", "error"])
 
-    listing = _listing(spark, sorted({f.path for f in root_files}))
-    parts = listing.select("path", "uri", F.regexp_extract("uri", MONTH_IN_PATH, 1).alias("root"))
-    read_parts = parts.repartition(_FOOTER_TASKS, "uri").mapInArrow(
+    files = listing(spark, sorted({f.path for f in root_files}))
+    parts = files.select("path", "uri", F.regexp_extract("uri", MONTH_IN_PATH, 1).alias("root"))
+    read_parts = parts.repartition(footer_tasks(files), "uri").mapInArrow(
         read, "path string, uri string, root string, rows long, missing array<string>, ddl string, error string")
     return read_parts.groupBy("root", "ddl", "missing", "error").agg(
         F.sum("rows").alias("rows"), F.sort_array(F.collect_list("path")).alias("parts")).collect()
@@ -249,11 +268,13 @@ def in_months(pickup: Column, months: Iterable[date]) -> Column:
     return reduce(lambda a, b: a | b, ranges, F.lit(False)) if ranges else F.lit(False)
 
 
-def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
+def read_months(spark: SparkSession, files: Sequence[MonthFile], watch: bool = False) -> RawMonths:
     """Scan month files that may differ in schema; foreign-month rows are dropped.
 
     A month is taken whole or not at all: if one of its parts lacks a column or cannot be read, all
-    its parts are turned away, and the report names that part.
+    its parts are turned away, and the report names that part. With ``watch`` the one job that reads
+    the rows also counts the values lost to casts; no filter is then pushed into scans that may lose
+    any, as all their rows are needed.
     """
     month_of = {f.uri: f for f in files}
     footers = [row for row in _footers(spark, files) if row.root in month_of] if files else []
@@ -282,20 +303,30 @@ def read_months(spark: SparkSession, files: Sequence[MonthFile]) -> RawMonths:
         members.append(file)
 
     pickup = F.col("tpep_pickup_datetime")
-    branches, lossy = [], []
+    branches, marked, watched = [], [], []
     for (ddl, _), (paths, members) in groups.items():
         scan = spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*paths)
-        lossy.append(misfits(scan))
-        trips = normalise(scan, F.col("_metadata.file_path").alias("uri"))
-        branches.append(
-            trips.where(in_months(pickup, [m.month for m in members]))
-            .where(in_own_month(pickup, F.col("uri"), members))
-            .drop("uri")
-        )
+        rows = scan.select("*", F.col("_metadata.file_path").alias("uri"))
+        lossy = misfits(scan) if watch else []
+        if lossy:
+            watched.append(Observation())
+            rows = rows.observe(watched[-1], *lossy)
+        trips = normalise(rows, F.col("uri"))
+        in_file = in_months(pickup, [m.month for m in members])
+        own = in_own_month(pickup, F.col("uri"), members)
+        branches.append(trips.where(in_file).where(own).drop("uri"))
+        # The path is taken apart for rows of other months only.
+        file_month = F.when(in_file & own, month_start(pickup)).otherwise(path_month(F.col("uri")))
+        marked.append(trips.select(
+            *TRIP_SCHEMA.names, F.coalesce(in_file & own, F.lit(False)).alias("own_month"),
+            file_month.alias(MONTH_COLUMN)))
     if not branches:
         branches.append(spark.createDataFrame([], TRIP_SCHEMA))
+        marked.append(branches[0].select(
+            "*", F.lit(True).alias("own_month"), F.lit(None).cast("date").alias(MONTH_COLUMN)))
     return RawMonths(
-        reduce(DataFrame.unionByName, branches), accepted, rejected, raw_rows, [m for m in lossy if m is not None])
+        reduce(DataFrame.unionByName, branches), reduce(DataFrame.unionByName, marked), accepted, rejected,
+        raw_rows, watched)
 
 
 def row_count(trips: DataFrame) -> DataFrame:
