@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
 
@@ -18,6 +19,10 @@ SLICE_BYTES = 8 << 20
 HASHED_BYTES = 2 << 20
 
 
+# Folders that are removed when the work that needs them is done; one list for each scratch().
+_SCRATCH: list[list[str]] = []
+
+
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the cluster's shared folder and read it again.
 
@@ -25,10 +30,54 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside at the end, whether it went well or not.
+
+    The result of the work must have been written by then; a frame over a staged table is not.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCRATCH.pop():
+            discard(spark, folder)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, wherever the cluster keeps it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def keep_rows(docs: DataFrame, fate: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``fate`` turns away, with all their columns.
+
+    ``fate`` has one row at most for an id and text (``_id``, ``_sha``): ``once`` false drops its rows,
+    true keeps one of them, whichever. Whole rows move once, for one join that is planned alike at
+    every size; only rows that repeat in id and text are added up in a second one, if there are any.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+        F.sha2(text, 256).alias("_sha"))
+    match = F.col("r._id").eqNullSafe(F.col("f._id")) & (F.col("r._sha") == F.col("f._sha"))
+    fate = staged(fate.select("_id", "_sha", "once"), "fate")
+    kept = rows.alias("r").join(fate.hint("merge").alias("f"), match, "left_anti").select("_row.*")
+    once = fate.where("once")
+    if not once.take(1):
+        return kept
+    several = rows.alias("r").join(once.hint("merge").alias("f"), match, "left_semi")
+    firsts = several.groupBy("_id", "_sha").agg(F.first("_row").alias("_row"))
+    return kept.unionByName(firsts.select("_row.*"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

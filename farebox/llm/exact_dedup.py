@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import staged
+from .common import keep_rows, staged
 
 # Fingerprints that one merged block holds on average.
 BLOCK_FINGERPRINTS = 1 << 20
@@ -169,19 +169,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-        F.sha2(text, 256).alias("_sha"))
-    out = staged(exact_groups(docs).where(~F.col("kept")), "dropped")
-    same_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    key = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
-    left, twice = (out.where(w).select(*key).distinct().alias("o") for w in (~same_id, same_id))
-    match = F.col("r._id").eqNullSafe(F.col("o._id")) & (F.col("r._sha") == F.col("o._sha"))
-    stay = rows.alias("r").join(left, match, "left_anti")
-    # Rows that repeat together with the id that stays: the first of them.
-    once = Window.partitionBy("_sha", "_id").orderBy(F.lit(0))
-    firsts = stay.alias("r").join(twice, match, "left_semi").withColumn(
-        "_n", F.row_number().over(once)).where("_n = 1")
-    rest = stay.alias("r").join(twice, match, "left_anti")
-    return rest.select("_row.*").unionByName(firsts.select("_row.*"))
+    out = exact_groups(docs).where(~F.col("kept"))
+    # A row not kept that has the id that stays repeats the row that does.
+    once = F.bool_or(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return keep_rows(docs, out.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
+        once.alias("once")))

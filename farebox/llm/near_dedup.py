@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .bagminhash import band_keys, shingles, signatures, weighted_jaccard
-from .common import HASHED_BYTES, filled, slices, staged
+from .common import HASHED_BYTES, filled, keep_rows, slices, staged
 from .components import Sets, components
 
 BANDS, BAND_PLACES = 50, 8
@@ -183,16 +183,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The row with the smallest ``doc_id`` of each class, with all its columns."""
-    ids = staged(near_classes(docs).where("class_size > 1"), "classes")
-    stays = ids.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_sha256") == F.col("class_sha256")))
-    goes = ids.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-        F.sha2(_text(), 256).alias("_sha"))
-    same = F.col("r._id").eqNullSafe(F.col("o._id")) & (F.col("r._sha") == F.col("o._sha"))
-    alone = rows.alias("r").join(goes.alias("o"), same, "left_anti")
-    kept = stays.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    once = Window.partitionBy("_id", "_sha").orderBy(F.lit(0))
-    first = rows.alias("r").join(kept.alias("o"), same, "left_semi").withColumn(
-        "_n", F.row_number().over(once)).where("_n = 1")
-    return alone.select("_row.*").unionByName(first.select("_row.*"))
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_sha256") == F.col("class_sha256"))
+    rows = near_classes(docs).where("class_size > 1").withColumn("stays", stays)
+    fate = rows.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
+        F.bool_or("stays").alias("once"), F.count(F.lit(1)).alias("n"))
+    return keep_rows(docs, fate.where("not once or n > 1"))
