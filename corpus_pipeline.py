@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from farebox.llm import exact_dedup, near_dedup, packing, quality, surrogates
-from farebox.llm.common import table
+from farebox.llm.common import discard, scratch, table
 from farebox.llm.queries import BYTES, SURROGATE_KEY
 from farebox.session import shared_dir
 
@@ -49,10 +49,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again.
+
+    What a stage stages for itself and what the stage before wrote are removed once it is written; the
+    last result stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/pipeline/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
