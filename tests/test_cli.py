@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
@@ -57,3 +57,27 @@ def test_usage_errors(folder, capsys):
         with pytest.raises(SystemExit):
             main([*base, *command])
     assert "needs --raw" in capsys.readouterr().err
+
+
+def test_rejected_trips_deletes_and_exports(spark, folder, capsys):
+    raw = f"{folder}/raw"
+    month_file(raw, date(2024, 1, 1), rows=6, strays=[datetime(2023, 5, 5)])
+    month_file(raw, date(2024, 2, 1), rows=4, fare=2000.0)
+    base = [
+        "--table", f"{folder}/table", "--ledger", f"{folder}/ledger", "--quarantine", f"{folder}/rejected", "--raw", raw]
+
+    def run(*args):
+        assert main([*base, *args]) == 0
+        return capsys.readouterr().out
+
+    run("create")
+    out = run("backfill", "--from", "2024-01", "--to", "2024-02", "--layout", "clustered")
+    assert "2024-01  6 rows of 7, 1 rejected" in out and "2024-02  0 rows of 4, 4 rejected" in out
+    out = run("rejected").splitlines()
+    assert out[1:] == ["|2024-01-01|128|foreign_month|1|", "|2024-02-01|4|bad_fare_high|4|"]
+    assert "6 rows in 1 files" in run("export", f"{folder}/csv")
+    assert "0 rows in 0 files" in run("export", f"{folder}/csv", "--from", "2024-02")
+    assert "2024-01  deleted" in run("delete", "--from", "2024-01", "--to", "2024-02")
+    assert "|deleted|6|" in run("sql", "SELECT status, rows_loaded FROM pipeline_runs WHERE status = 'deleted'")
+    with pytest.raises(SystemExit):
+        main([*base[:4], "rejected"])
