@@ -44,3 +44,28 @@ def test_state_belongs_to_the_store(spark, folder):
     assert runs(first, spark.newSession()) == 1
     assert runs(second, spark) == 1
     assert TripTable(spark, second.table).read().count() == 5
+
+
+def test_a_replaced_file_is_loaded_again(spark, folder):
+    """Overwritten in place: same path, other time or size."""
+    raw = f"{folder}/raw"
+    store = Store(f"{folder}/table", f"{folder}/ledger")
+    TripTable(spark, store.table).create()
+
+    def watch():
+        pick_up_months(spark, raw, store).awaitTermination()
+        rows = TripTable(spark, store.table).month_counts().collect()
+        runs = RunLedger(spark, store.ledger).read().count()
+        return {r.pickup_month: r.trip_count for r in rows}, runs
+
+    jan, feb, mar = (date(2024, m, 1) for m in (1, 2, 3))
+    month_file(raw, jan, rows=5)
+    month_file(raw, feb, rows=6, variant="B")
+    assert watch() == ({jan: 5, feb: 6}, 2)
+    assert watch() == ({jan: 5, feb: 6}, 2)
+    month_file(raw, jan, rows=8)
+    assert watch() == ({jan: 8, feb: 6}, 3)
+    month_file(raw, feb, rows=7, variant="B")
+    month_file(raw, mar, rows=2)
+    assert watch() == ({jan: 8, feb: 7, mar: 2}, 5)
+    assert watch() == ({jan: 8, feb: 7, mar: 2}, 5)
