@@ -8,25 +8,27 @@ statistics, are scanned, where the scan again skips the groups that cannot matte
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.scalar import timestamp_literal
 from .raw import footer_tasks, listing, open_parquet
 
 _FOOTERS = "path string, rows long, nulls long, low double, high double, known boolean"
 
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 def _number(value) -> float:
     """A statistic as a double; times as microseconds, exact until the year 2255."""
     if isinstance(value, datetime):
         aware = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
-        whole = int(aware.timestamp() // 1) if aware.microsecond == 0 else None
-        seconds = whole if whole is not None else int(aware.replace(microsecond=0).timestamp())
-        return float(seconds * 1_000_000 + aware.microsecond)
+        return float((aware - _EPOCH) // timedelta(microseconds=1))
     return float(value)
 
 
@@ -106,8 +108,6 @@ class FooterChecks:
 
     def since(self, column: str, moment: datetime) -> int:
         """Rows of a naive timestamp column at ``moment`` or later."""
-        from ..functions.scalar import timestamp_literal
-
         at = F.lit(_number(moment))
         footers = column_footers(self.spark, self.root, column)
         late, mixed = F.col("low") >= at, (F.col("low") < at) & (F.col("high") >= at)
