@@ -42,6 +42,7 @@ class Publication:
     def publish(self, moves: Sequence[Move]) -> None:
         for move in moves:
             if not self.files.same_system(move.target, self.folder):
+                self.abandon()
                 raise ValueError(f"{move.target} is on another file system than {self.folder}")
         self.files.write_json(self._journal, [[m.target, m.staged] for m in moves])
         self.finish()

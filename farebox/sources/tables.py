@@ -129,10 +129,12 @@ class TripTable:
         if layout == "rebalance":
             frame = frame.hint("rebalance", *keys)
         elif layout == "clustered":
+            # Pieces of the curve are dealt out and balanced like months. No range is sampled for that, as
+            # rows that are read twice would be counted twice.
             place = interleave(F.dayofmonth("tpep_pickup_datetime"), F.col("pickup_hour"), 5)
-            frame = frame.withColumn("_place", place)
-            frame = frame.repartitionByRange(*keys, "_place", "tpep_pickup_datetime").sortWithinPartitions(
-                *keys, "_place", "tpep_pickup_datetime").drop("_place")
+            frame = frame.withColumn("_place", place).withColumn("_piece", F.shiftright("_place", 5))
+            frame = frame.hint("rebalance", *keys, "_piece").sortWithinPartitions(
+                *keys, "_place", "tpep_pickup_datetime").drop("_place", "_piece")
         if sort_by_time and layout != "clustered":
             frame = frame.sortWithinPartitions(*keys, "tpep_pickup_datetime")
         # Counted in the writing stage itself, where each task's result is taken once.

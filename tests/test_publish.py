@@ -163,6 +163,19 @@ def test_one_job_reads_the_rows_of_a_load(spark, raw, store):
     assert plan.count(") Scan parquet") == 2 and "Exchange" not in plan
 
 
+@pytest.mark.parametrize("layout", ["as_read", "rebalance", "clustered"])
+def test_misfits_are_counted_once_in_every_layout(spark, raw, store, layout):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = month_file(raw, JAN, rows=3)
+    table = pq.read_table(path)
+    at = table.schema.get_field_index("VendorID")
+    pq.write_table(table.set_column(at, "VendorID", pa.array([1, 2**40, 2])), path)
+    result = jobs.load_months(spark, raw, store, [JAN, FEB], tables.Layout(layout))
+    assert result.nulled == {"vendor_id": 1} and result.rows == {JAN: 3, FEB: 20}
+
+
 def test_deletes_are_in_the_ledger(spark, raw, store):
     jobs.backfill(spark, raw, store, "2024-01", "2024-02")
     assert jobs.delete_months(spark, store, [JAN, MAR]) == [JAN]
@@ -202,7 +215,7 @@ def test_clustered_layout_is_narrow_in_both_keys(spark, folder):
     spark.conf.set(key, "16")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        options = {"layout": "clustered", "max_records_per_file": 3000}
+        options = {"layout": "clustered", "max_records_per_file": 1000}
         assert read_share("a", "pickup_hour", 3, 3, **options) < 0.6
         assert read_share("b", "tpep_pickup_datetime", datetime(2024, 1, 9), datetime(2024, 1, 9, 23), **options) < 0.6
         assert read_share("c", "pickup_hour", 3, 3, layout="as_read", sort_by_time=True) == 1
