@@ -568,23 +568,26 @@ JOIN_SQL = r"""
                    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                    '[^\x20\x09-\x0D]+') AS w
         FROM documents
-    ), shingled AS (
-        SELECT doc_id, CASE
-            WHEN len(w) = 0 THEN []
-            WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
-        FROM words
-    ), sets AS (SELECT doc_id, len(s) AS n, unnest(s) AS one FROM shingled
+    ), placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words
+    ), fives AS (
+        SELECT doc_id, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o
+               || ' ' || lead(word, 4) OVER o AS one
+        FROM placed WINDOW o AS (PARTITION BY doc_id ORDER BY place)
+    ), shingles AS (
+        SELECT DISTINCT doc_id, one FROM fives WHERE one IS NOT NULL
+        UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+    ), sets AS (SELECT doc_id, n, one FROM shingles JOIN sizes USING (doc_id)
     ), links AS (
         SELECT a.doc_id AS x, b.doc_id AS y
         FROM sets a JOIN sets b ON a.one = b.one AND a.doc_id <> b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
         GROUP BY a.doc_id, b.doc_id, a.n, b.n
         HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
     ), reached(doc_id, other) AS (
-        SELECT doc_id, doc_id FROM shingled
+        SELECT doc_id, doc_id FROM documents
         UNION
         SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
     )
-    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
-    FROM shingled JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) USING (doc_id)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) LEFT JOIN sizes USING (doc_id)
 """
