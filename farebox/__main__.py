@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 
 from .functions.months import month_span, parse_month
 from .functions.scalar import utc_now
-from .operators import quality
 from .operators.clean import violation_counts
 from .operators.views import register_views
 from .plans import jobs
@@ -128,9 +127,7 @@ def main(argv: list[str] | None = None) -> int:
             rows = jobs.require_table_quality(spark, store, parse_month(args.month))
             print(f"passed: {rows:,} rows, no fare out of range")
         case "health":
-            report = quality.health_report(
-                table.read(), RunLedger(spark, store.ledger).read(), as_of=utc_now()
-            ).collect()
+            report = jobs.table_health(spark, store, utc_now()).collect()
             for check in report:
                 print(f"[{'PASS' if check.passed else 'FAIL'}] {check.check_name}: {check.value}")
             failed = sum(not check.passed for check in report)

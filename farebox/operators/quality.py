@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schema as S
 from ..functions.scalar import elapsed_hours, ratio, round_half_up, timestamp_literal
 from .months import month_row_count
+from .summary import is_summary, mean, summarise
 
 
 def bad_fares(trips: DataFrame) -> DataFrame:
@@ -82,9 +83,21 @@ def null_rate(trips: DataFrame, column: str = "fare_amount") -> DataFrame:
     )
 
 
-def average_fare(trips: DataFrame) -> DataFrame:
-    """Rounded average fare; an empty table counts as 0 and fails."""
-    fare = trips.agg(F.coalesce(round_half_up(F.avg("fare_amount"), 2), F.lit(0.0)).alias("f"))
+def counted_checks(counts: DataFrame) -> DataFrame:
+    """Freshness and NULL rate from one row of counts: ``fresh``, ``nulls`` and ``rows``."""
+    percent = F.coalesce(round_half_up(ratio(F.col("nulls") * 100.0, F.col("rows")), 2), F.lit(0.0))
+    checks = F.array(*[F.struct(*_check(*c)) for c in (
+        ("fresh_rows", F.col("fresh"), F.col("fresh") > 0),
+        ("null_fare_percent", F.col("percent"), F.col("percent") < S.MAX_NULL_PERCENT))])
+    return counts.withColumn("percent", percent).select(F.inline(checks))
+
+
+def average_fare(source: DataFrame) -> DataFrame:
+    """Rounded average fare, of trips or a stored summary; an empty table counts as 0 and fails."""
+    mean_fare = mean("fare") if is_summary(source) else F.avg("fare_amount")
+    rows = summarise(source, []) if is_summary(source) else source
+    shown = F.coalesce(round_half_up(mean_fare, 2), F.lit(0.0)).alias("f")
+    fare = rows.select(shown) if is_summary(source) else rows.agg(shown)
     return fare.select(
         *_check("average_fare", F.col("f"), F.col("f").between(S.MIN_AVG_FARE, S.MAX_AVG_FARE))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.months import month_span, months_of_year, target_month
 from ..functions.scalar import utc_now
 from ..operators.clean import clean, judge
-from ..operators.quality import pass_quality
+from ..operators.quality import average_fare, counted_checks, last_run_check, pass_quality
 from ..operators.summary import GRAIN, TIME, trip_summary
-from ..schema import DELETED, MAX_FARE, MONTH_COLUMN, PUBLICATION_LAG_MONTHS
+from ..schema import DELETED, FRESH_HOURS, MAX_FARE, MONTH_COLUMN, PUBLICATION_LAG_MONTHS
 from ..sources.footers import FooterChecks
 from ..sources.ledger import RunLedger
 from ..sources.raw import Rejected, find_months, read_months
@@ -208,3 +208,20 @@ def require_table_quality(spark: SparkSession, store: Store, month: date) -> int
     rows = table.month_counts([month]).first()
     bad = FooterChecks(spark, store.table).outside("fare_amount", 0, MAX_FARE)
     return pass_quality(month, rows.trip_count if rows else 0, bad)
+
+
+def table_health(spark: SparkSession, store: Store, as_of: datetime) -> DataFrame:
+    """The four health checks on the stored table.
+
+    Freshness and NULL rate come from footers; the average fare from the stored summary, if one is kept,
+    and from the trips otherwise.
+    """
+    table, checks = TripTable(spark, store.table), FooterChecks(spark, store.table)
+    counts = (
+        checks.since("loaded_at", as_of - timedelta(hours=FRESH_HOURS)), checks.nulls("fare_amount"),
+        checks.rows("fare_amount"))
+    fares = read_summary(table, store.summary) if store.summary else table.read()
+    return (
+        counted_checks(spark.createDataFrame([counts], "fresh long, nulls long, rows long"))
+        .unionByName(average_fare(fares))
+        .unionByName(last_run_check(RunLedger(spark, store.ledger).read(), as_of)))

@@ -77,6 +77,13 @@ class FooterChecks:
     spark: SparkSession
     root: str
     scanned: list[str] = field(default_factory=list)
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    def _footers(self, column: str) -> DataFrame:
+        """The footers of a column, read once however many checks ask; a row a file."""
+        if column not in self._read:
+            self._read[column] = column_footers(self.spark, self.root, column).persist()
+        return self._read[column]
 
     def _count(self, footers: DataFrame, sure: Column, doubtful: Column, condition: Column) -> int:
         """Rows that are ``sure`` by file, plus those matching ``condition`` in doubtful files."""
@@ -90,12 +97,12 @@ class FooterChecks:
         return int(rows.sure) + trips.where(condition).count()
 
     def rows(self, column: str) -> int:
-        return int(column_footers(self.spark, self.root, column).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
+        return int(self._footers(column).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
 
     def outside(self, column: str, above: float, upto: float) -> int:
         """Values that are not NULL and not in (above, upto]."""
         low, high = F.col("low"), F.col("high")
-        footers = column_footers(self.spark, self.root, column)
+        footers = self._footers(column)
         clean = low.isNull() | ((low > above) & (high <= upto))
         all_out = (high <= above) | (low > upto)
         return self._count(
@@ -103,13 +110,13 @@ class FooterChecks:
             (F.col(column) <= above) | (F.col(column) > upto))
 
     def nulls(self, column: str) -> int:
-        footers = column_footers(self.spark, self.root, column)
+        footers = self._footers(column)
         return self._count(footers, F.col("nulls"), F.lit(False), F.col(column).isNull())
 
     def since(self, column: str, moment: datetime) -> int:
         """Rows of a naive timestamp column at ``moment`` or later."""
         at = F.lit(_number(moment))
-        footers = column_footers(self.spark, self.root, column)
+        footers = self._footers(column)
         late, mixed = F.col("low") >= at, (F.col("low") < at) & (F.col("high") >= at)
         return self._count(
             footers, F.when(late, F.col("rows") - F.col("nulls")).otherwise(0), mixed,

@@ -12,6 +12,7 @@ from farebox.operators.summary import trip_summary
 from farebox.plans import inputs, jobs
 from farebox.sources import arrow_sink
 from farebox.sources.footers import FooterChecks
+from farebox.sources.ledger import RunLedger
 from farebox.sources.tables import TripTable
 from support import explained, month_file
 
@@ -140,3 +141,25 @@ def test_a_failed_export_leaves_nothing(spark, folder):
         arrow_sink.export_partitions(broken, target)
     assert sorted(os.listdir(target)) == before
     assert arrow_sink.export_partitions(spark.range(0), f"{folder}/none") == []
+
+
+@pytest.mark.parametrize("summary", [False, True])
+def test_health_of_the_table_is_that_of_its_trips(spark, folder, summary):
+    store = jobs.Store(f"{folder}/table", f"{folder}/ledger", f"{folder}/summary" if summary else None)
+    table = TripTable(spark, store.table).create()
+    moments = (datetime(2024, 1, 1), datetime.now())
+
+    def both(moment):
+        ledger = RunLedger(spark, store.ledger).read()
+        return [sorted(tuple(r) for r in report.collect()) for report in (
+            jobs.table_health(spark, store, moment), quality.health_report(table.read(), ledger, moment))]
+
+    for moment in moments:
+        ours, plain = both(moment)
+        assert ours == plain and len(ours) == 4 and not all(c[2] for c in ours)
+    month_file(f"{folder}/raw", JAN, rows=9)
+    month_file(f"{folder}/raw", FEB, rows=4, variant="B", fare=31.5)
+    jobs.backfill(spark, f"{folder}/raw", store, "2024-01", "2024-02")
+    for moment in moments:
+        ours, plain = both(moment)
+        assert ours == plain and all(c[2] for c in ours)
