@@ -18,7 +18,7 @@ import pyarrow as pa
 from .common import gather, text_bytes
 
 # Bytes of distinct chunks, their ids and what holds them that a worker remembers before it starts anew.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 48 << 20
 # What a remembered chunk takes besides its own bytes and four for each id.
 CHUNK_BYTES = 150
 # Longer chunks are encoded wherever they occur and not remembered.
