@@ -4,11 +4,14 @@ Paths are taken apart at slashes into the branches of a tree per host. Runs of d
 at once. Level by level, where many children of a node hold few pages each, these children are one
 variable child. Of the others, however large they are, those whose share of bad pages does not
 differ from that of their siblings (two proportions, 95 %) are merged into one branch. This goes on
-until no path has a further segment. What is left are templates. A template's purity
+until no path has a further segment. What is left are templates. A chain of only children is gone
+through in one step, and a branch with so few paths and labels that nothing below can differ is done
+at once, so rounds are as many as there are real forks, however deep a path is. A template's purity
 is its share of good pages, smoothed towards its host's, which is smoothed towards the share of all
 pages; templates of a purity below one half are blocked.
 
-A page's label is the quality label of the document whose id ends its path. Pages without one count
+A page's label is the quality label of the document whose id ends its path, the lower one if that has
+several; an id has 18 digits at most. Pages without one count
 for the form of the tree only. Counting is by distinct host and template with partial sums where the
 pages are read; the tree is built from these counts. Null and odd urls have empty host and path,
 which is a template like any other. Rows that repeat are judged alike; without labels all is allowed.
@@ -16,6 +19,8 @@ which is a template like any other. Rows that repeat are judged alike; without l
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import staged
@@ -62,16 +67,49 @@ def _tests(good: Column, bad: Column, all_good: Column, all_bad: Column) -> Colu
         pooled * (1 - pooled) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(m, F.lit(1))))).otherwise(F.lit(False))
 
 
+def _plus(count: Column) -> Column:
+    return F.repeat(F.lit("/+"), count)
+
+
+def _folded(tree: DataFrame) -> DataFrame:
+    """The tree with all nodes moved down to where they fork, or to their ends if nothing can differ.
+
+    All that reaches a depth of a trunk has one segment there, so it is one branch whatever its counts.
+    Rows that leave the trunk differ from the greatest row, in the order of arrays, at some place; the
+    trunk ends at the first of these. Rows that are a beginning of the greatest one end on the trunk.
+    """
+    node, rest = ["host", "template"], F.col("rest")
+    tops = tree.groupBy(*node).agg(
+        F.max("rest").alias("top"), F.count(F.lit(1)).alias("rows"), F.sum("good").alias("all_good"),
+        F.sum("bad").alias("all_bad"))
+    # Too few rows for a variable child; of three labels or equal ones no two shares differ.
+    alike = (F.col("all_good") == 0) | (F.col("all_bad") == 0) | (F.col("all_good") + F.col("all_bad") <= 3)
+    rows = tree.join(tops.withColumn("simple", (F.col("rows") <= MANY_CHILDREN) & alike), node)
+    same = F.zip_with("rest", F.slice("top", F.lit(1), F.size("rest")), lambda a, b: a.eqNullSafe(b))
+    off = F.array_position(same, False) - 1
+    rows = rows.withColumn("off", F.when(off >= 0, off))
+    trunks = rows.groupBy(*node).agg(F.min("off").alias("trunk"))
+    rows = rows.join(trunks, node)
+    steps = F.when(F.col("simple"), F.size(rest)).otherwise(
+        F.least(F.coalesce("trunk", F.size(rest).cast("long")), F.size(rest).cast("long"))).cast("int")
+    return rows.withColumn("steps", steps).select(
+        "host", "segments", "n", "good", "bad", F.concat("template", _plus(F.col("steps"))).alias("template"),
+        F.slice("rest", F.col("steps") + 1, F.size("rest")).alias("rest"))
+
+
 def templates(counts: DataFrame) -> DataFrame:
     """``host``, ``segments`` and the ``template`` they fall under, from counts per host and segments."""
-    tree = counts.withColumn("template", F.lit("").cast("string"))
-    depth = counts.agg(F.max(F.size("segments"))).first()[0] or 0
-    ended = []
-    for level in range(depth):
-        segment = F.get("segments", F.lit(level))
-        node = ["host", "template"]
-        children = staged(tree.withColumn("child", segment).where(F.col("child").isNotNull()).groupBy(
-            *node, "child").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")]), "url-children")
+    tree = counts.select("*", F.lit("").cast("string").alias("template"), F.col("segments").alias("rest"))
+    node, ended = ["host", "template"], []
+    while True:
+        tree = staged(_folded(tree), "url-folded")
+        ended.append(tree.where(F.size("rest") == 0).drop("rest"))
+        tree = tree.where(F.size("rest") > 0)
+        if tree.isEmpty():
+            return reduce(DataFrame.unionByName, ended)
+        child = F.col("rest")[0]
+        children = staged(tree.groupBy(*node, child.alias("child")).agg(
+            *[F.sum(c).alias(c) for c in ("n", "good", "bad")]), "url-children")
         few = F.col("n") < FEW_PAGES
         siblings = children.groupBy(*node).agg(
             F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"), F.count_if(few).alias("all_few"))
@@ -83,14 +121,9 @@ def templates(counts: DataFrame) -> DataFrame:
         own = F.when(F.col("child").rlike(r"^=*[*+]$"), F.concat(F.lit("="), "child")).otherwise(F.col("child"))
         branch = F.when(many, F.lit("*")).when(apart, own).otherwise(F.lit("+"))
         named = children.select(*node, "child", branch.alias("branch"))
-        # Rows that end above this level are done.
-        ended.append(tree.where(F.size("segments") <= level))
-        tree = staged(tree.where(F.size("segments") > level).withColumn("child", segment).join(
-            named, [*node, "child"]).withColumn("template", F.concat("template", F.lit("/"), "branch")).drop(
-            "child", "branch"), "url-tree")
-    for part in ended:
-        tree = tree.unionByName(part)
-    return tree
+        tree = tree.withColumn("child", child).join(named, [*node, "child"]).select(
+            "host", "segments", "n", "good", "bad", F.concat("template", F.lit("/"), "branch").alias("template"),
+            F.slice("rest", F.lit(2), F.size("rest")).alias("rest"))
 
 
 def judged(tree: DataFrame) -> DataFrame:
@@ -119,7 +152,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     url = F.col("url").cast("string")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("segments", segments_of(F.col("path")))
-    shown = F.try_to_number(F.regexp_extract("path", r"(\d{1,18})(?:\.\w+)?/?$", 1), F.lit("9" * 18)).cast("long")
+    shown = F.try_to_number(F.regexp_extract("path", r"(?<!\d)(\d{1,18})(?:\.\w+)?/?$", 1), F.lit("9" * 18)).cast("long")
     known = labels.select(F.col("doc_id").cast("long").alias("shown"), F.col("quality").cast("int").alias("quality"))
     known = known.where("shown is not null").groupBy("shown").agg(F.min("quality").alias("quality"))
     counted = rows.withColumn("shown", shown).groupBy("host", "segments", "shown").agg(F.count(F.lit(1)).alias("n"))
