@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates of the same type and form, in SQL functions only.
 
 Found are mail and IP addresses, phone, card, account and social security numbers, keys and hashes,
-and names behind a form of address. An entity's canonical form (digits of a number, lower case of
+and names behind a form of address, whole: with inner capitals, apostrophes, hyphens, initials and the
+small words between. A run of digits is a card number if its last digit is the check digit. An entity's canonical form (digits of a number, lower case of
 an address) and a secret key determine its surrogate, so mentions of one entity get one surrogate
 wherever and however they are written: digits are put back into the mention's own punctuation,
 letters into its case. Letters become letters of the same script, digits digits; a form of address
@@ -26,23 +27,52 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import staged
 
-# Fixed forms of what is looked for, in the order of preference.
+# Forms of address by gender (x: either), words that join names, beginnings of keys.
+TITLES = {
+    "m": "Mr|Herr|Hr|Monsieur|Señor|Sr|Господин", "f": "Mrs|Ms|Miss|Frau|Mme|Madame|Mlle|Señora|Sra|Госпожа",
+    "x": "Dr|Prof|Professor",
+}
+PARTICLES = "van|von|der|den|de|del|della|di|da|du|la|le|zu"
+KEYS = r"AKIA|ASIA|(?:sk|pk|ghp|xox[bp])[-_]"
+
+# A word of a name: an initial, or letters with capitals, apostrophes and hyphens inside.
+_WORD = r"(?:\p{Lu}\.|\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{L}[\p{L}\p{M}]*+)*+)"
+_SMALL = rf"(?:(?:{PARTICLES}) ){{0,2}}"
+_NAME = rf"{_SMALL}{_WORD}(?: {_SMALL}{_WORD}){{0,3}}"
+_HEX = "[0-9A-Fa-f]{1,4}"
+
+
+def _named(gender: str) -> str:
+    more = r"(?:(?:Dr|Prof)\.? ){0,2}"
+    begins = "".join(sorted({t[0] for t in TITLES[gender].split("|")}))
+    return rf"(?=[{begins}])(?<!\w)(?:{TITLES[gender]})\.? {more}{_NAME}"
+
+
+# Forms of what is looked for, in the order of preference, and what each of them must contain.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
+    "ip6": rf"(?<![\w:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
-             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w)",
+    "phone": r"(?=[+(\d])(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
+             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{2,4}[ /-]\d{6,8})(?!\w)",
     "account": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "secret": r"(?<!\w)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}"
               r"|(?:sk|pk|ghp|xox[bp])[-_][A-Za-z0-9_-]{16,128})(?!\w)",
-    "name_m": r"(?<!\w)(?:Mr|Herr|Monsieur|Señor|Господин)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,2}",
-    "name_f": r"(?<!\w)(?:Mrs|Ms|Frau|Mme|Madame|Señora|Госпожа)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,2}",
+    "name_m": _named("m"),
+    "name_f": _named("f"),
+    "name_x": _named("x"),
+}
+HINTS = {
+    "email": "@", "secret": rf"[0-9a-f]{{32}}|[0-9A-F]{{32}}|{KEYS}",
+    **{f"name_{g}": rf"(?:{t})\.? " for g, t in TITLES.items()},
+    **{k: r"\d" for k in ("ip", "ip6", "ssn", "phone", "account", "card")},
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# What every entity has: a text without it is not searched.
-HINT = r"[@\d]|\b(?:Mr|Herr|Monsieur|Se[ñ]ora?|Mrs|Ms|Frau|Mme|Madame|Госп)|[0-9a-fA-F]{32}"
+# A text without it has no entity and is not searched.
+HINT = "|".join(dict.fromkeys(HINTS.values()))
+_ADDRESS = "^(?:(?:" + "|".join(TITLES.values()) + r")\.? )+"
 
 # Given names by gender and script (fixed lists, kept short).
 GIVEN = {
@@ -51,6 +81,8 @@ GIVEN = {
     ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Никита Олег Павел Роман Семён Юрий",
     ("f", "cyrillic"): "Алла Вера Галина Дарья Елена Жанна Зоя Ирина Клара Лариса Мария Нина Ольга Полина Софья Юлия",
 }
+for _script in ("latin", "cyrillic"):
+    GIVEN["x", _script] = f"{GIVEN['m', _script]} {GIVEN['f', _script]}"
 ALPHABETS = {
     "[0-9]": "0123456789", r"[a-z]|\p{IsLatin}": "abcdefghijklmnopqrstuvwxyz",
     r"\p{IsCyrillic}": "абвгдежзийклмнопрстуфхцчшщыэюя", r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
@@ -89,17 +121,49 @@ def found(text: Column) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
+def _luhn_sum(digits: Column, doubled: int) -> Column:
+    """The card checksum of digits from the right, where those at even or odd places count twice."""
+    def weighed(c: Column, i: Column) -> Column:
+        d = c.cast("int")
+        return F.when(i % 2 == doubled, d * 2 - F.when(d > 4, 9).otherwise(0)).otherwise(d)
+
+    return F.aggregate(
+        F.transform(F.regexp_extract_all(F.reverse(digits), F.lit(r"\d"), F.lit(0)), weighed),
+        F.lit(0), lambda total, d: total + d)
+
+
+def _with_luhn(digits: Column) -> Column:
+    """Digits whose last one is made the check digit of the others."""
+    front = F.substring(digits, F.lit(1), F.length(digits) - 1)
+    return F.concat(front, ((10 - _luhn_sum(front, 0) % 10) % 10).cast("string"))
+
+
+def _with_account_check(account: Column) -> Column:
+    """An account number with the check digits of its country and the rest."""
+    country, rest = F.substring(account, 1, 2), F.substring(account, F.lit(5), F.length(account))
+    place = lambda c: F.instr(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"), c) - 1
+    left = F.aggregate(
+        F.transform(F.regexp_extract_all(F.lower(F.concat(rest, country, F.lit("00"))), F.lit("[0-9a-z]"), F.lit(0)), place),
+        F.lit(0), lambda total, d: (total * F.when(d > 9, 100).otherwise(10) + d) % 97)
+    return F.concat(country, F.lpad((98 - left).cast("string"), 2, "0"), rest)
+
+
 def kind_of(mention: Column) -> Column:
-    which = F.lit("name_f")
-    for kind in reversed([k for k in PATTERNS if k != "name_f"]):
-        which = F.when(mention.rlike(f"^(?:{PATTERNS[kind]})$"), F.lit(kind)).otherwise(which)
+    """What a mention is; null for a run of digits without a card's check digit."""
+    which = F.lit(None).cast("string")
+    for kind, pattern in reversed(PATTERNS.items()):
+        is_kind = mention.rlike(f"^(?:{pattern})$")
+        if kind == "card":
+            which = F.when(is_kind, F.when(_luhn_sum(mention, 1) % 10 == 0, kind)).otherwise(which)
+        else:
+            which = F.when(is_kind, kind).otherwise(which)
     return which
 
 
 def canonical(kind: Column, mention: Column) -> Column:
     return (F.when(kind.isin(*DIGITS), F.regexp_replace(mention, r"\D", ""))
             .when(kind == "account", F.replace(mention, F.lit(" "), F.lit("")))
-            .when(kind.startswith("name"), F.lower(F.regexp_replace(mention, r"^\S+ ", "")))
+            .when(kind.startswith("name"), F.lower(F.regexp_replace(mention, _ADDRESS, "")))
             .otherwise(F.lower(mention)))
 
 
@@ -148,6 +212,7 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     after = lambda n: F.substring(plain, F.lit(n), F.length(plain))
     digits = F.when(keeps, F.concat(F.substring(plain, 1, 1), _disguised(F.concat(after(2), zeros), seed))
                     ).otherwise(_disguised(F.concat(plain, zeros), seed))
+    digits = F.when(kind == "card", _with_luhn(digits)).otherwise(digits)
     octets = F.concat(F.array_join(F.transform(
         F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(F.sha2(seed, 256), i) % 254 + 1).cast("string")), "."),
         _disguised(zeros, seed))
@@ -160,6 +225,10 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
         F.lit("."), F.substring_index(plain, ".", -1))
     # A hash stays hexadecimal.
     hexes = F.substring(F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("+")), 512)), F.lit(1), F.length(plain) + more)
+    begin = F.regexp_extract(plain, f"^(?:{KEYS.lower()})", 0)
+    hex_pool = F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("-")), 512))
+    ip6 = F.array_join(F.transform(F.split(F.concat(plain, F.repeat(F.lit(":0"), more)), ""), lambda c, i: F.when(
+        c.rlike("[0-9a-f]"), F.substring(hex_pool, i + 1, F.lit(1))).otherwise(c)), "")
     word_seed = lambda word: F.sha2(F.concat_ws("/", F.lit(key), kind, word, attempt.cast("string")), 256)
 
     def given(word: Column) -> Column:
@@ -171,14 +240,21 @@ def surrogate(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
         return F.when(word.rlike(r"[\p{IsLatin}\p{IsCyrillic}]"), out).otherwise(_disguised(word, word_seed(word)))
 
     words = F.split(plain, " ")
+    # The last word always changes: it may be spelt like a particle.
     name = F.array_join(F.transform(words, lambda w, i: F.when(
-        i < F.size(words) - 1, given(w)).otherwise(
+        (i < F.size(words) - 1) & w.rlike(f"^(?:{PARTICLES})$"), w).when(
+        (i < F.size(words) - 1) & ~w.endswith("."), given(w)).otherwise(
             # The last letter once more, so that the script stays.
-            _disguised(F.concat(w, F.repeat(F.right(w, F.lit(1)), more)), word_seed(w)))), " ")
-    return (F.when(kind.isin(*DIGITS), digits).when(kind == "ip", octets).when(kind == "email", mail)
+            _disguised(F.concat(w, F.repeat(F.regexp_extract(w, r"(\p{L})\P{L}*$", 1), more)), word_seed(w)))), " ")
+    return (F.when(kind.isin(*DIGITS), digits).when(kind == "ip", octets).when(kind == "ip6", ip6)
+            .when(kind == "email", mail)
             .when(kind.startswith("name"), name)
             .when((kind == "secret") & plain.rlike("^[0-9a-f]+$"), hexes)
-            .when(kind == "account", F.concat(F.substring(plain, 1, 2), _disguised(F.concat(after(3), zeros), seed)))
+            .when(kind == "account", _with_account_check(
+                F.concat(F.substring(plain, 1, 2), _disguised(F.concat(after(3), zeros), seed))))
+            # A key keeps the beginning that tells what it is for.
+            .when(kind == "secret", F.concat(begin, _disguised(
+                F.concat(F.substring(plain, F.length(begin) + 1, F.length(plain)), letters), seed)))
             .otherwise(_disguised(F.concat(plain, letters), seed)))
 
 
@@ -192,15 +268,24 @@ def rendered(kind: Column, mention: Column, plain: Column) -> Column:
             c.rlike(pattern), F.substring(plain, F.length(F.regexp_replace(
                 F.substring(mention, F.lit(1), i + 1), f"(?!{pattern}).", "")), F.lit(1))).otherwise(c)), ""), rest)
 
+    def cased(body: Column) -> Column:
+        """Word by word in the mention's case, where the lengths agree."""
+        def word(old: Column, new: Column) -> Column:
+            letters = F.zip_with(F.split(old, ""), F.split(new, ""), lambda x, y: F.when(
+                x != F.lower(x), F.upper(y)).otherwise(y))
+            return F.when(F.length(old) == F.length(new), F.array_join(letters, "")).otherwise(F.initcap(new))
+        return F.array_join(F.zip_with(F.split(body, " "), F.split(plain, " "), word), " ")
+
     whole = F.when((mention == F.upper(mention)) & (mention != F.lower(mention)), F.upper(plain)).otherwise(plain)
     return (F.when(kind.isin(*DIGITS), fill(r"\d")).when(kind == "account", fill(r"[A-Z0-9]"))
-            .when(kind.startswith("name"), F.concat(F.substring_index(mention, " ", 1), F.lit(" "), F.initcap(plain)))
+            .when(kind.startswith("name"), F.concat(
+                F.regexp_extract(mention, _ADDRESS, 0), cased(F.regexp_replace(mention, _ADDRESS, ""))))
             .otherwise(whole))
 
 
 def dictionary(mentions: DataFrame, key: str) -> DataFrame:
     """A surrogate for each ``kind`` and ``canonical``, distinct and new to the corpus."""
-    entities = staged(mentions.select("kind", "canonical").distinct(), "entities")
+    entities = staged(mentions.where("kind is not null").select("kind", "canonical").distinct(), "entities")
     now = entities.withColumn("attempt", F.lit(0))
     # This ends: each draw after the first ones is from ten times as many surrogates or more.
     while True:
@@ -223,7 +308,7 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     """
     text = F.col("_row.text").cast("string")
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
-    held = F.coalesce(text.rlike(HINT), F.lit(False)) & (F.size(found(text)) > 0)
+    held = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     # The mentions of each text once, however many rows have it. Two texts that shared a hash would
     # only share the union of their mentions.
     texts = rows.select(F.xxhash64(text).alias("_key"), found(text).alias("mentions")).where(F.size("mentions") > 0)
@@ -231,8 +316,9 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
     kind = F.col("kind")
     mentions = staged(mentions.withColumn("kind", kind_of(F.col("mention"))).withColumn(
         "canonical", canonical(kind, F.col("mention"))), "mentions")
-    table = mentions.join(dictionary(mentions, key), ["kind", "canonical"]).withColumn(
-        "new", rendered(kind, F.col("mention"), F.col("surrogate")))
+    # What is no entity after all stands for itself.
+    table = mentions.join(dictionary(mentions, key), ["kind", "canonical"], "left").withColumn("new", F.coalesce(
+        rendered(kind, F.col("mention"), F.col("surrogate")), F.col("mention")))
     maps = table.groupBy("_key").agg(
         F.map_from_entries(F.collect_list(F.struct("mention", F.struct("new", "kind")))).alias("_map"))
 
@@ -249,6 +335,6 @@ def replaced(docs: DataFrame, key: str) -> DataFrame:
                         lambda f, gap: F.concat(f["new"], gap))
     changed = with_data.select(*output(
         F.concat(F.element_at("_gaps", 1), F.array_join(pieces, "")),
-        F.transform("_found", lambda f: f["kind"])))
+        F.array_compact(F.transform("_found", lambda f: f["kind"]))))
     rest = rows.where(~held).select(*output(text, F.array().cast("array<string>")))
     return changed.unionByName(rest)

@@ -315,7 +315,7 @@ def test_quality(spark, odd_docs, no_docs):
 def test_surrogates(spark, odd_docs, no_docs):
     text = ("Mr. John Smith and Frau Anna Weber met Господин Иван Петров; mail John.Smith@Example.com, "
             "john.smith@example.com or ann@example.com. Call +1 (337) 555-7349 or +1-337-555-7349, "
-            "card 4003 0366 2664 9762 or 4003036626649762, host 24.243.215.198. "
+            "card 4003 0366 2664 9761 or 4003036626649761, host 24.243.215.198. "
             'key "F3EF4D6B2755A36D7D9C25BD72C4D5F67E061FDA", version 4.0.')
     docs = spark.createDataFrame([(1, text), (2, "plain text, version 2.0."), (3, text)], "doc_id long, text string")
     out = {r.doc_id: r for r in surrogates.replaced(docs, "key").collect()}
