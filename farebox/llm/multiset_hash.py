@@ -110,13 +110,19 @@ def written(v: Column) -> Column:
     return F.lower(F.concat(F.array_join(wide, ""), F.array_join(rest, "")))
 
 
+def _longs(values: list[int]) -> Column:
+    """Numbers as one constant: they travel as a text, which the optimizer folds into an array."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _range_number(key: Column, bounds: list[int]) -> Column:
     """How many bounds are at most ``key``: first among every 256th of them, then among the next 256."""
+    if not bounds:
+        return F.lit(0)
     step = 256
-    blocks = [bounds[k:k + step] for k in range(0, len(bounds), step)] or [[]]
-    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values]).cast("array<bigint>")
-    block = F.size(F.filter(longs([b[0] for b in blocks[1:]]), lambda x: x <= key))
-    within = F.element_at(F.array(*[longs(b) for b in blocks]), block + 1)
+    firsts = bounds[step::step]
+    block = F.size(F.filter(_longs(firsts), lambda x: x <= key)) if firsts else F.lit(0)
+    within = F.slice(_longs(bounds), block * step + 1, F.lit(step))
     return block * step + F.size(F.filter(within, lambda x: x <= key))
 
 
@@ -148,9 +154,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     guest_of = {n: order[k - 1] for k, n in enumerate(order)}
     size = len(bounds) + 1
     at = F.col("range") + 1
-    first = F.element_at(F.array(*[F.lit(firsts.get(n, 0)).cast("long") for n in range(size)]), at)
-    host = F.element_at(F.array(*[F.lit(guest_of.get(n, 0)) for n in range(size)]), at)
-    own = F.struct(F.col("range").alias("r"), F.lit(False).alias("guest"))
+    first = F.element_at(_longs([firsts.get(n, 0) for n in range(size)]), at)
+    host = F.element_at(_longs([guest_of.get(n, 0) for n in range(size)]), at)
+    own = F.struct(F.col("range").cast("long").alias("r"), F.lit(False).alias("guest"))
     visit = F.struct(host.alias("r"), F.lit(True).alias("guest"))
     placed = keyed.withColumn(
         "place", F.explode(F.when(F.col("key") == first, F.array(own, visit)).otherwise(F.array(own))))
