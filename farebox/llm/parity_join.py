@@ -18,8 +18,10 @@ is at most (a + b) // 9, and neither is more than 1.25 times the other.
 * *Buckets.* Sets with a common key are a bucket. Buckets are not listed pair by pair: each set
   is checked against the one leader it shares most keys with, and components are made. Buckets whose
   members are of one class are done. In the others, members of different classes are compared by
-  narrow sketches, in blocks of bounded bytes; the pairs whose distance is within D are checked, the
-  closest of each two classes first, then more of them, until none is left.
+  narrow sketches, in blocks of bounded bytes. A block reports fewer pairs than it has members: of those
+  whose distance is within D, the closest ones that connect its classes. They are checked. Where there
+  were more and classes still differ, all members that have such a pair are compared again, by their
+  shingles, in blocks that report only links.
 * *Check.* The shingles of both texts are worked out again and compared.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D, with A-Z as lower case. A text of fewer than
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import HASHED_BYTES, filled, gather, mix, slices, span_hashes, staged, text_bytes
-from .components import components
+from .components import Sets, components
 
 WORDS = 5
 # Sets of fewer shingles have a segment for each; bands above begin at SMALL * RATIO ** k and have
@@ -352,6 +354,15 @@ def _as_lists(rows: list[tuple]) -> pa.RecordBatch:
         ["bucket", "head", "leader", "members"])
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` with their texts; nodes are fetched by broadcast if they are few."""
+    texts = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
+        F.xxhash64(_text()).alias("print"), _text().alias("text"))
+    keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    return texts.join(keys, ["id", "no_id", "print"])
+
+
 def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of pairs of nodes ``a`` and ``b``, those that are linked.
 
@@ -364,11 +375,7 @@ def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     seats = placed.select("a", "salt", F.col("b").alias("node"), F.lit(1).alias("turn")).unionByName(
         leads.select("a", "salt", F.col("a").alias("node"), F.lit(0).alias("turn")))
     wanted = staged(seats.join(nodes.select("node", "id", "no_id", "print"), "node"), "wanted")
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
-        F.xxhash64(_text()).alias("print"), _text().alias("text"))
-    keys = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    fetched = texts.join(keys, ["id", "no_id", "print"]).select("a", "salt", "turn", "node", "text")
+    fetched = _texts(docs, wanted).select("a", "salt", "turn", "node", "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, held = None, None
@@ -431,26 +438,51 @@ def close_pairs(left: np.ndarray, right: np.ndarray, words: list[np.ndarray], si
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-_NEAR = "bucket long, a long, b long, cut boolean"
+def nearest_forest(low: np.ndarray, high: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs that connect all classes which pairs connect, closest ones first.
 
-
-def _candidates(lists: DataFrame, known: DataFrame, limit: int) -> DataFrame:
-    """Pairs of different classes in one bucket whose sketches allow a link.
-
-    Of each two classes a block reports the ``limit`` closest pairs and says in ``cut`` if it has more, so
-    a bucket without ``cut`` has no further pairs.
+    There are fewer of them than classes, however many pairs there are.
     """
+    names, ends = np.unique(np.concatenate([low, high]), return_inverse=True)
+    order = np.argsort(apart, kind="stable")
+    low, high = ends[:len(low)][order], ends[len(low):][order]
+    left, taken, sets = np.arange(len(order)), [], Sets()
+    label = np.arange(len(names))
+    while True:
+        left = left[label[low[left]] != label[high[left]]]
+        if not len(left):
+            return order[np.sort(np.array(taken, np.int64))]
+        # Of every set of classes its closest pair: what is written last, stays.
+        backwards = left[::-1]
+        best = np.full((2, len(names)), len(order))
+        best[0, label[low[backwards]]] = best[1, label[high[backwards]]] = backwards
+        best = best.min(0)
+        for pair in np.unique(best[best < len(order)]).tolist():
+            if sets.join(int(low[pair]), int(high[pair])):
+                taken.append(pair)
+        label = np.array([sets.find(k) for k in range(len(names))])
+
+
+def _mixed(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of the buckets that have several classes; ``other`` if not of the leader's class."""
     rows = lists.select("bucket", "leader", F.explode("members").alias("node")).join(
         known.select("node", "size", "class"), "node")
     main = F.max(F.when(F.col("node") == F.col("leader"), F.col("class")))
     classes = rows.groupBy("bucket").agg(
         main.alias("main"), F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    mixed = rows.join(classes.select("bucket", "main"), "bucket").withColumn(
-        "other", F.col("class") != F.col("main"))
+    return rows.join(classes.select("bucket", "main"), "bucket").select(
+        "bucket", "node", "size", "class", (F.col("class") != F.col("main")).alias("other"))
+
 
+def _cells(mixed: DataFrame, content: DataFrame, width: int) -> DataFrame:
+    """Members of buckets in blocks, and pairs of blocks (``i``, ``j``) in which all pairs of classes meet.
+
+    Cells with a negative ``i`` are of blocks -1 - ``i`` and ``j`` of the other classes, the rest of blocks
+    ``i`` of the leader's class and ``j`` of others. ``content`` has ``width`` bytes for each shingle, or
+    fewer, and eight at least.
+    """
     def blocks(side):
-        # A sketch has at most a byte for each shingle, and eight at least.
-        members, size = F.count_if(side), F.sum(F.when(side, F.greatest("size", F.lit(8))))
+        members, size = F.count_if(side), F.sum(F.when(side, F.greatest(width * F.col("size"), F.lit(8))))
         return F.greatest(F.ceil(members / BLOCK), F.ceil(F.coalesce(size, F.lit(0)) / BLOCK_BYTES))
 
     count = mixed.groupBy("bucket").agg(
@@ -467,37 +499,120 @@ def _candidates(lists: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     own = F.col("own")
     with_main = F.transform(upto(F.col("mains")), lambda i: cell(i, own))
     among = F.transform(upto(F.col("others")), lambda k: cell(-1 - F.least(own, k), F.greatest(own, k)))
-    places = F.when(F.col("other"), F.concat(with_main, among)).otherwise(
-        F.transform(upto(F.col("others")), lambda j: cell(own, j)))
-    cells = seated.select("bucket", "node", "size", "class", "other", F.explode(places).alias("cell")).join(
-        known.select("node", "sketch"), "node").select("bucket", "cell.*", "node", "size", "class", "other", "sketch")
+    places = F.when(F.col("other") & (F.col("mains") > 0), F.concat(with_main, among)).when(
+        F.col("other"), among).otherwise(F.transform(upto(F.col("others")), lambda j: cell(own, j)))
+    placed = seated.where("other or others > 0").select(
+        "bucket", "node", "size", "class", "other", "own", F.explode(places).alias("cell"))
+    return placed.join(content, "node").select(
+        "bucket", "cell.*", "node", "size", "class", "other", "own", *[c for c in content.columns if c != "node"])
+
+
+def _sides(key: tuple, group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The members of a cell whose pairs are compared."""
+    i, j = key[1].as_py(), key[2].as_py()
+    other, own = group["other"].to_numpy(zero_copy_only=False), group["own"].to_numpy()
+    right = np.flatnonzero(other & (own == j))
+    return np.flatnonzero(other & (own == -1 - i)) if i < 0 else np.flatnonzero(~other), right
+
+
+def _near(key: tuple, group: pa.Table):
+    """Pairs of a cell of different classes whose sketches allow a link, and their distances."""
+    left, right = _sides(key, group)
+    words = [np.frombuffer(s, "<u8") for s in group["sketch"].to_pylist()]
+    own_class = group["class"].to_numpy()
+    a, b, apart = close_pairs(left, right, words, group["size"].to_numpy())
+    use = own_class[a] != own_class[b]
+    if key[1].as_py() == -1 - key[2].as_py():
+        # A block with itself has each pair twice.
+        use &= a < b
+    return a[use], b[use], apart[use]
+
+
+_NEAR = "bucket long, a long, b long, cut boolean"
 
+
+def _candidates(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of different classes in one bucket whose sketches allow a link.
+
+    A block reports the closest pairs that connect its classes, fewer than it has members, and says in
+    ``cut`` if there are more, so a bucket without ``cut`` has no further pairs.
+    """
     def compare(key: tuple, group: pa.Table) -> pa.Table:
-        node, size, own_class = (group[c].to_numpy() for c in ("node", "size", "class"))
-        other = group["other"].to_numpy(zero_copy_only=False)
-        words = [np.frombuffer(s, "<u8") for s in group["sketch"].to_pylist()]
-        left = np.flatnonzero(other)
-        right = left if key[1].as_py() < 0 else np.flatnonzero(~other)
-        a, b, apart = close_pairs(left, right, words, size)
-        use = own_class[a] != own_class[b]
-        a, b, apart = a[use], b[use], apart[use]
-        low, high = np.minimum(own_class[a], own_class[b]), np.maximum(own_class[a], own_class[b])
-        first, second = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-        order = np.lexsort((second, first, apart, high, low))
-        low, high, first, second = (x[order] for x in (low, high, first, second))
-        same = np.append(False, (first[1:] == first[:-1]) & (second[1:] == second[:-1]))[:len(first)]
-        low, high, first, second = (x[~same] for x in (low, high, first, second))
-        heads = np.flatnonzero(np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])))[:len(low)]
-        rank = np.arange(len(low)) - np.repeat(heads, np.diff(np.append(heads, len(low))))
-        kept = rank < limit
-        cut = np.full(int(kept.sum()), bool((~kept).any()))
-        bucket = np.full(len(cut), key[0].as_py(), np.int64)
+        node, own_class = group["node"].to_numpy(), group["class"].to_numpy()
+        a, b, apart = _near(key, group)
+        kept = nearest_forest(own_class[a], own_class[b], apart)
+        first, second = np.minimum(node[a[kept]], node[b[kept]]), np.maximum(node[a[kept]], node[b[kept]])
         return pa.table(
-            [pa.array(c) for c in (bucket, first[kept], second[kept], cut)], ["bucket", "a", "b", "cut"])
+            [pa.array(c) for c in (
+                np.full(len(kept), key[0].as_py(), np.int64), first, second, np.full(len(kept), len(kept) < len(a)))],
+            ["bucket", "a", "b", "cut"])
 
+    cells = _cells(_mixed(lists, known), known.select("node", "sketch"), 1)
     return cells.groupBy("bucket", "i", "j").applyInArrow(compare, _NEAR)
 
 
+def _doubtful(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of buckets with a pair of different classes whose sketches allow a link."""
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        a, b, _ = _near(key, group)
+        used = np.unique(np.concatenate([a, b]))
+        return group.select(["bucket", "node", "size", "class", "other"]).take(pa.array(used, pa.int64()))
+
+    cells = _cells(_mixed(lists, known), known.select("node", "sketch"), 1)
+    return cells.groupBy("bucket", "i", "j").applyInArrow(
+        compare, "bucket long, node long, size long, class long, other boolean").distinct()
+
+
+def _shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``shingles`` of nodes, 8 bytes each, worked out from the texts again."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, limit=HASHED_BYTES):
+                owner, value = shingle_sets(filled(part.column("text")))
+                starts = _per_row(owner, part.num_rows)
+                right = set_ids(value, starts).view(np.int64) == part.column("node").to_numpy()
+                sets = [value[starts[k]:starts[k + 1]].tobytes() for k in np.flatnonzero(right)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node").filter(pa.array(right)), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    fetched = _texts(docs, nodes.select("node", "id", "no_id", "print")).select("node", "text")
+    # Rows that repeat have one id and text.
+    return fetched.mapInArrow(hashed, "node long, shingles binary").groupBy("node").agg(
+        F.first("shingles").alias("shingles"))
+
+
+def linked_pairs(left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], classes: np.ndarray) -> list[tuple]:
+    """Linked pairs of ``left`` and ``right`` that connect all classes which linked pairs connect."""
+    size = np.array([len(s) for s in sets])
+    starts = np.concatenate([[0], np.cumsum(size)])
+    names, number = np.unique(np.concatenate(sets), return_inverse=True)
+    at = number[gather(starts[right], size[right])]
+    heads = np.cumsum(size[right]) - size[right]
+    mine, joined, found = np.zeros(len(names), bool), Sets(), []
+    for a in left.tolist():
+        own = number[starts[a]:starts[a + 1]]
+        mine[own] = True
+        both = np.add.reduceat(mine[at], heads, dtype=np.int64)
+        mine[own] = False
+        hits = right[(100 * both >= 80 * (size[a] + size[right] - both)) & (classes[right] != classes[a])]
+        found += [(a, b) for b in hits.tolist() if joined.join(int(classes[a]), int(classes[b]))]
+    return found
+
+
+def _links_within(mixed: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Links that connect all members of a bucket which links connect; every pair of classes is compared."""
+    def compare(key: tuple, group: pa.Table) -> pa.Table:
+        left, right = _sides(key, group)
+        found: list = []
+        if len(left) and len(right):
+            sets = [np.frombuffer(s, "<u8") for s in group["shingles"].to_pylist()]
+            found = linked_pairs(left, right, sets, group["class"].to_numpy())
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table([pa.array(group["node"].to_numpy()[pairs[:, k]]) for k in range(2)], ["a", "b"])
+
+    return _cells(mixed, shingles, 8).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_sets(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     signed = staged(_signed(docs, spread), "signed")
@@ -521,22 +636,24 @@ def near_sets(docs: DataFrame, spread: float = SPREAD) -> DataFrame:
     if few.take(1):
         links = staged(links.unionByName(_checked(docs, nodes, _with_band(few, nodes))), "links")
 
-    limit, open_lists = 4, lists
-    while True:
-        classes = components(links)
-        known = nodes.join(classes, "node", "left").select(
-            "node", "size", "sketch", "doc_id", F.coalesce("root", "node").alias("class"))
-        found = staged(_candidates(open_lists, known, limit), "candidates")
-        if not found.take(1):
-            break
+    def known(classes):
+        return nodes.join(classes, "node", "left").select(
+            "node", "size", "sketch", F.coalesce("root", "node").alias("class"))
+
+    classes = components(links)
+    found = staged(_candidates(lists, known(classes)), "candidates")
+    if found.take(1):
         more = _checked(docs, nodes, found.select("a", "b").distinct())
-        links = staged(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
-        if not found.where("cut").take(1):
-            classes = components(links)
-            break
+        stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        classes = components(staged(stars.unionByName(more), "links"))
         # Only buckets with more pairs than were reported are looked at again.
         open_lists = lists.join(found.where("cut").select("bucket").distinct(), "bucket", "left_semi")
-        limit *= 8
+        doubtful = staged(_doubtful(open_lists, known(classes)), "doubtful")
+        if doubtful.take(1):
+            shingles = staged(_shingles(docs, nodes.join(doubtful.select("node").distinct(), "node")), "shingles")
+            more = _links_within(doubtful, shingles)
+            stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            classes = components(staged(stars.unionByName(more), "links"))
 
     named = nodes.join(classes, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("class"))
     names = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))

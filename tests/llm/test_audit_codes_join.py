@@ -15,6 +15,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from farebox.llm import filter_audit, parity_join, vector_codes
+from farebox.llm.components import Sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -252,6 +253,55 @@ def test_a_key_of_more_sets_than_a_list_holds(spark):
     assert found[1] == 1 and found[2] == 2 and {c for i, c in found.items() if i >= 10} == {10}
 
 
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Similarities around 0.8, so that classes still differ after the closest pairs were checked."""
+    draw, rows = random.Random(5), []
+    base = [f"b{k}" for k in range(100)]
+    for k in range(400):
+        words = list(base)
+        for place in draw.sample(range(100), draw.choice([2, 3, 4])):
+            words[place] = f"own{k}.{place}"
+        rows.append((k, " ".join(words)))
+    doubtful, stage = [], parity_join.staged
+
+    def seen(frame, name):
+        out = stage(frame, name)
+        if name == "doubtful":
+            doubtful.append(out.count())
+        return out
+
+    monkeypatch.setattr(parity_join, "staged", seen)
+    assert joined(spark, rows) == plain_join(rows)
+    assert doubtful and doubtful[0] > 0
+
+
+def test_a_bucket_reports_fewer_pairs_than_twice_its_members(spark):
+    """200 sets of a class each, all close to one another: 19,900 pairs."""
+    known = spark.createDataFrame(
+        [(k, 100, (1 << k % 60 | 1 << 100 + k % 50).to_bytes(64, "little"), k) for k in range(200)],
+        "node long, size long, sketch binary, class long")
+    lists = spark.createDataFrame([(7, 0, list(range(200)))], "bucket long, leader long, members array<long>")
+    found = parity_join._candidates(lists, known).collect()
+    assert len(found) < 400 and all(r.cut for r in found if r.a > 0)
+    reached = Sets()
+    for r in found:
+        reached.join(r.a, r.b)
+    assert {reached.find(k) for k in range(200)} == {0}
+
+
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12), st.integers(0, 5)), max_size=60))
+def test_forest_connects_what_pairs_connect_closest_first(pairs):
+    pairs = [p for p in pairs if p[0] != p[1]]
+    low, high, apart = (np.array([p[k] for p in pairs], np.int64) for k in range(3))
+    taken = parity_join.nearest_forest(low, high, apart)
+    every, by_distance, forest, least = Sets(), Sets(), Sets(), 0
+    for a, b, d in sorted(pairs, key=lambda p: p[2]):
+        every.join(a, b)
+        least += d if by_distance.join(a, b) else 0
+    assert all(forest.join(*pairs[k][:2]) for k in taken)
+    assert all(forest.find(k) == every.find(k) for k in range(13)) and apart[taken].sum() == least
+
+
 @given(st.integers(0, 10**6), st.integers(30, 400), st.floats(0, 0.12))
 @settings(max_examples=60, deadline=None)
 def test_linked_sets_share_a_key_and_pass_the_sketch(seed, size, share):
