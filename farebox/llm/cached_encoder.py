@@ -3,7 +3,8 @@
 Pre-tokenizers that split at white space and between letters and punctuation never join what lies
 on both sides of such a cut, so a text is the concatenation of its chunks. Chunks repeat, texts do
 not; the library sees only the chunks a worker has not met yet. Texts for which a cut may not be
-safe (a special token's string, white space beyond ASCII) go to the library whole.
+safe (a special token's string, white space beyond ASCII) go to the library whole. Where white space
+leaves no trace, it makes no chunks, and the library gets new words in one text, with a mark behind each.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ CHUNK_BYTES = 150
 LONGEST = 256
 # The library gets so many bytes of chunks at once.
 LEARNED_BYTES = 1 << 20
+# What stands behind each word where many are one text, and how many words that are.
+MARK, MARKED = "~", 1_000
 
 _SPACE, _ALNUM, _PUNCT, _OTHER = 0, 1, 2, 3
 
@@ -62,13 +65,22 @@ class ChunkCache:
     A subclass says where a text may be cut and how chunks are encoded.
     """
 
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where chunks begin, and the bytes to encode; starts of texts are added by the caller."""
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Where chunks begin, the bytes to encode, and which of them are not left out (None: all).
+
+        Starts of texts are added by the caller.
+        """
         raise NotImplementedError
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has."""
+        encoded = self.encode_chunks([c.decode("utf-8", "replace") for c in chunks])
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lengths.sum())), lengths
+
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.held_bytes = 0
@@ -83,9 +95,7 @@ class ChunkCache:
         cuts = np.searchsorted(sizes, np.arange(LEARNED_BYTES, sizes[-1] + LEARNED_BYTES, LEARNED_BYTES)) + 1
         done = 0
         for end in np.unique(np.minimum(cuts, len(chunks))).tolist():
-            encoded = self.encode_chunks([c.decode("utf-8", "replace") for c in chunks[done:end]])
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            ids = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
+            ids, lengths = self.ids_of(chunks[done:end])
             while first + end > len(self.starts):
                 self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
                 self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
@@ -108,32 +118,37 @@ class ChunkCache:
         data, offsets = text_bytes(texts)
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        cut, data = self.cuts(data, offsets)
+        cut, data, kept = self.cuts(data, offsets)
         cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-        starts = np.flatnonzero(cut)
-        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [
-            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)),
+        if kept is None:
+            places = starts = np.flatnonzero(cut)
+        else:
+            starts, places, data = np.flatnonzero(cut & kept), np.flatnonzero(cut[kept]), data[kept]
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(places), [
+            None, pa.py_buffer(np.append(places, len(data)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         distinct = chunks.dictionary.to_pylist()
         if self.held_bytes > REMEMBERED_BYTES:
             self.forget()
-        missing = [c for c in distinct if len(c) <= LONGEST and c not in self.known]
+        slots = list(map(self.known.get, distinct))
+        new = [k for k, slot in enumerate(slots) if slot is None]
+        missing = [distinct[k] for k in new if len(distinct[k]) <= LONGEST]
         if missing:
             self._learn(missing)
         # Long chunks take the slots and the room after what is remembered, until the next call.
-        kept, long = self.used, [c for c in distinct if len(c) > LONGEST]
+        kept_ids, long = self.used, [distinct[k] for k in new if len(distinct[k]) > LONGEST]
         if long:
             self._append(long, len(self.known))
         above = iter(range(len(self.known), len(self.known) + len(long)))
-        slots = np.fromiter(
-            (self.known[c] if len(c) <= LONGEST else next(above) for c in distinct), np.int64, len(distinct))
-        slots = slots[chunks.indices.to_numpy(zero_copy_only=False)]
+        for k in new:
+            slots[k] = self.known[distinct[k]] if len(distinct[k]) <= LONGEST else next(above)
+        slots = np.array(slots, np.int64)[chunks.indices.to_numpy(zero_copy_only=False)]
         lengths = self.lengths[slots]
         before = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[gather(self.starts[slots], lengths)]
-        self.used = kept
-        if long and len(self.flat) > max(1 << 20, 4 * kept):
-            self.flat = self.flat[:max(1 << 16, kept)].copy()
+        self.used = kept_ids
+        if long and len(self.flat) > max(1 << 20, 4 * kept_ids):
+            self.flat = self.flat[:max(1 << 16, kept_ids)].copy()
         return ids, before[np.searchsorted(starts, offsets)]
 
 
@@ -149,11 +164,33 @@ class CachedEncoder(ChunkCache):
         plain = self.encode_chunks([chr(c) for c in range(97, 123)])
         self.folds = plain == self.encode_chunks([chr(c) for c in range(65, 91)]) == self.encode_chunks(
             [f" \n{chr(c)} " for c in range(97, 123)])
+        # Marked words are told apart by the mark's id, which no word has; no special token is made of words and marks.
+        mark, letters = self.encode_chunks([MARK])[0], "".join(chr(c) for c in range(97, 123))
+        joined = self.encode_chunks(["".join(letter + MARK for letter in letters)])[0]
+        self.mark = mark[0] if (
+            self.folds and len(mark) == 1 and joined == [i for ids in plain for i in ids + mark]
+            and all(t.replace(MARK.encode(), b"") and not t.replace(MARK.encode(), b"").isalnum() for t in self.special)
+        ) else None
         self.forget()
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
+    def ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self.mark is not None and all(map(bytes.isalnum, chunks)):
+            texts = [(MARK.join([c.decode() for c in chunks[k:k + MARKED]]) + MARK) for k in range(0, len(chunks), MARKED)]
+            ids = np.concatenate([np.array(i, np.uint32) for i in self.encode_chunks(texts)])
+            marks = np.flatnonzero(ids == self.mark)
+            if len(marks) == len(chunks):
+                return np.delete(ids, marks), np.diff(marks, prepend=-1) - 1
+        return super().ids_of(chunks)
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        words = list(map(bytes.isalnum, chunks))
+        for kind in (True, False):
+            if some := [c for c, word in zip(chunks, words) if word == kind]:
+                super()._learn(some)
+
     def _unsafe(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Which texts must not be cut."""
         bad = np.zeros(len(offsets) - 1, bool)
@@ -167,19 +204,20 @@ class CachedEncoder(ChunkCache):
                 at = raw.find(needle, int(offsets[text + 1]))
         return bad
 
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         unsafe = np.flatnonzero(self._unsafe(data, offsets))
         kinds = _KINDS[data]
         cut = np.empty(len(data), bool)
         cut[0] = True
         cut[1:] = (_CUT_FOLDED if self.folds else _CUT).ravel()[(kinds[:-1] << 2) | kinds[1:]]
         folded = _LOWER[data] if self.folds else data
+        kept = kinds != _SPACE if self.folds else None
         for text in unsafe:
             span = slice(offsets[text], offsets[text + 1])
             cut[span] = False
             if self.folds:
-                folded[span] = data[span]
-        return cut, folded
+                folded[span], kept[span] = data[span], True
+        return cut, folded, kept
 
 
 @functools.lru_cache(maxsize=4)

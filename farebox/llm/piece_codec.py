@@ -47,11 +47,11 @@ class PieceCodec(ChunkCache):
             self.cut_between[128:, 32] = True
         self.forget()
 
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, None]:
         cut = np.empty(len(data), bool)
         cut[0] = True
         cut[1:] = self.cut_between[data[:-1], data[1:]]
-        return cut, data
+        return cut, data, None
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         return [self.chunk(c.replace(" ", SPACE)) for c in chunks]

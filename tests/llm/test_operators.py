@@ -50,6 +50,42 @@ def test_cached_encoder_is_the_library(path, texts):
         assert ids[offsets[k]:offsets[k + 1]].tolist() == encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@settings(deadline=None, max_examples=100)
+@given(texts=st.lists(st.text(st.sampled_from("abZ09~~'  \n\té<s|>"), max_size=40), max_size=6))
+def test_marks_in_texts_are_not_taken_for_marks(path, texts):
+    source = cached_encoder.encoder(path)
+    ids, offsets = source.encode(pa.array(texts, pa.large_string()))
+    for k, text in enumerate(texts):
+        assert ids[offsets[k]:offsets[k + 1]].tolist() == source.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_the_library_gets_many_words_at_once(monkeypatch):
+    source, given_texts = cached_encoder.CachedEncoder(WORDS), []
+    encode = source.encode_chunks
+    monkeypatch.setattr(source, "encode_chunks", lambda chunks: given_texts.extend(chunks) or encode(chunks))
+    draw = random.Random(9)
+    words = ["".join(draw.choices("thinger4", k=draw.randrange(1, 12))) for _ in range(5_000)]
+    text = "".join(w + draw.choice([" ", "\n", " \t "]) for w in words)
+    ids, offsets = source.encode(pa.array(["  ", text, ""], pa.large_string()))
+    assert ids.tolist() == library(WORDS)(text) and offsets.tolist() == [0, 0, len(ids), len(ids)]
+    assert len(given_texts) <= 5 and not any(c.isspace() for c in source.known)
+
+
+@pytest.mark.parametrize("special", ["~", "ab", "a~b"])
+def test_special_tokens_of_words_and_marks(folder, special):
+    from tokenizers import Tokenizer
+
+    tokenizer, path = Tokenizer.from_file(WORDS), f"{folder}/special.json"
+    tokenizer.add_special_tokens([special])
+    tokenizer.save(path)
+    texts = ["ab ~ a~b", "a~", "xab~ y", "b c", "a b ab"]
+    source = cached_encoder.CachedEncoder(path)
+    ids, offsets = source.encode(pa.array(texts, pa.large_string()))
+    assert source.mark is None
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library(path)(t) for t in texts]
+
+
 @settings(deadline=None, max_examples=150)
 @given(texts=st.lists(TEXT, max_size=6))
 def test_pieces_are_the_library(texts):
