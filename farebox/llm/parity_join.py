@@ -88,8 +88,9 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         for k in range(WORDS):
             there = np.flatnonzero(at + k < last)
             value[there] = mix(value[there] * np.uint64(5) + word[at[there] + k] + np.uint64(k + 1))
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
+    bounds = np.concatenate([[0], np.cumsum(many)])
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        value[a:b].sort()
     new = np.append(True, (owner[1:] != owner[:-1]) | (value[1:] != value[:-1]))
     return owner[new], value[new]
 
@@ -445,6 +446,8 @@ def nearest_forest(low: np.ndarray, high: np.ndarray, apart: np.ndarray) -> np.n
     """
     names, ends = np.unique(np.concatenate([low, high]), return_inverse=True)
     order = np.argsort(apart, kind="stable")
+    if len(names) <= 2:
+        return order[:1]
     low, high = ends[:len(low)][order], ends[len(low):][order]
     left, taken, sets = np.arange(len(order)), [], Sets()
     label = np.arange(len(names))
@@ -485,8 +488,10 @@ def _cells(mixed: DataFrame, content: DataFrame, width: int) -> DataFrame:
         members, size = F.count_if(side), F.sum(F.when(side, F.greatest(width * F.col("size"), F.lit(8))))
         return F.greatest(F.ceil(members / BLOCK), F.ceil(F.coalesce(size, F.lit(0)) / BLOCK_BYTES))
 
+    other_class = F.when(F.col("other"), F.col("class"))
     count = mixed.groupBy("bucket").agg(
-        blocks(~F.col("other")).alias("mains"), blocks(F.col("other")).alias("others"))
+        blocks(~F.col("other")).alias("mains"), blocks(F.col("other")).alias("others"),
+        F.coalesce(F.min(other_class) < F.max(other_class), F.lit(False)).alias("several"))
     seated = mixed.join(count, "bucket").withColumn("own", F.pmod(
         F.xxhash64("node"), F.when(F.col("other"), F.col("others")).otherwise(F.col("mains"))))
 
@@ -499,8 +504,9 @@ def _cells(mixed: DataFrame, content: DataFrame, width: int) -> DataFrame:
     own = F.col("own")
     with_main = F.transform(upto(F.col("mains")), lambda i: cell(i, own))
     among = F.transform(upto(F.col("others")), lambda k: cell(-1 - F.least(own, k), F.greatest(own, k)))
-    places = F.when(F.col("other") & (F.col("mains") > 0), F.concat(with_main, among)).when(
-        F.col("other"), among).otherwise(F.transform(upto(F.col("others")), lambda j: cell(own, j)))
+    # Other members of one class need not meet one another.
+    places = F.when(~F.col("other"), F.transform(upto(F.col("others")), lambda j: cell(own, j))).when(
+        F.col("mains") == 0, among).when(F.col("several"), F.concat(with_main, among)).otherwise(with_main)
     placed = seated.where("other or others > 0").select(
         "bucket", "node", "size", "class", "other", "own", F.explode(places).alias("cell"))
     return placed.join(content, "node").select(
