@@ -3,8 +3,9 @@
 Pre-tokenizers that split at white space and between letters and punctuation never join what lies
 on both sides of such a cut, so a text is the concatenation of its chunks. Chunks repeat, texts do
 not; the library sees only the chunks a worker has not met yet. Texts for which a cut may not be
-safe (a special token's string, white space beyond ASCII) go to the library whole. Where white space
-leaves no trace, it makes no chunks, and the library gets new words in one text, with a mark behind each.
+safe (a special token's string, white space beyond ASCII) go to the library whole. The library gets
+many new words in one text. Where white space leaves no trace, it makes no chunks, and a mark stands
+behind each word; byte-level tokens tell by their lengths where a word behind white space ends.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ import pyarrow as pa
 
 from .common import gather, text_bytes
 
-# Bytes of distinct chunks, their ids and what holds them that a worker remembers before it starts anew.
+# Bytes of distinct chunks, their ids and what holds them that a worker remembers before it forgets
+# all that are not in the texts at hand.
 REMEMBERED_BYTES = 48 << 20
 # What a remembered chunk takes besides its own bytes and four for each id.
 CHUNK_BYTES = 150
@@ -26,7 +28,7 @@ CHUNK_BYTES = 150
 LONGEST = 256
 # The library gets so many bytes of chunks at once.
 LEARNED_BYTES = 1 << 20
-# What stands behind each word where many are one text, and how many words that are.
+# What stands behind each word where many are one text without white space, and how many words are one text.
 MARK, MARKED = "~", 1_000
 
 _SPACE, _ALNUM, _PUNCT, _OTHER = 0, 1, 2, 3
@@ -89,27 +91,45 @@ class ChunkCache:
         self.lengths = np.zeros(1 << 12, np.int64)
         self.used = 0
 
+    def _keep(self, chunks: list[bytes]) -> None:
+        """Forget all chunks but these, which are known."""
+        slots = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        lengths = self.lengths[slots]
+        ids = self.flat[gather(self.starts[slots], lengths)]
+        self.forget()
+        self._store(ids, lengths, 0)
+        self._name(chunks, 0)
+
+    def _store(self, ids: np.ndarray, lengths: np.ndarray, first: int) -> None:
+        """Ids of chunks in a row, in the slots from ``first`` on."""
+        end = first + len(lengths)
+        while end > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.starts[first:end] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first:end] = lengths
+        self.used += len(ids)
+
     def _append(self, chunks: list[bytes], first: int) -> None:
         """Ids of chunks, in the slots from ``first`` on; the library's own objects live for one part."""
         sizes = np.cumsum([len(c) for c in chunks])
         cuts = np.searchsorted(sizes, np.arange(LEARNED_BYTES, sizes[-1] + LEARNED_BYTES, LEARNED_BYTES)) + 1
         done = 0
         for end in np.unique(np.minimum(cuts, len(chunks))).tolist():
-            ids, lengths = self.ids_of(chunks[done:end])
-            while first + end > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.starts[first + done:first + end] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[first + done:first + end] = lengths
-            self.used += len(ids)
+            self._store(*self.ids_of(chunks[done:end]), first + done)
             done = end
 
     def _learn(self, chunks: list[bytes]) -> None:
         first, used = len(self.known), self.used
         self._append(chunks, first)
+        self._name(chunks, used)
+
+    def _name(self, chunks: list[bytes], used: int) -> None:
+        """Remember chunks whose ids are in the next slots and in the room from ``used`` on."""
+        first = len(self.known)
         self.known.update(zip(chunks, range(first, first + len(chunks))))
         self.held_bytes += sum(map(len, chunks)) + CHUNK_BYTES * len(chunks) + 4 * (self.used - used)
 
@@ -127,9 +147,11 @@ class ChunkCache:
         chunks = pa.Array.from_buffers(pa.large_binary(), len(places), [
             None, pa.py_buffer(np.append(places, len(data)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
+        raw, at = text_bytes(chunks.dictionary)
+        raw, at = raw.tobytes(), at.tolist()
+        distinct = [raw[a:b] for a, b in zip(at, at[1:])]
         if self.held_bytes > REMEMBERED_BYTES:
-            self.forget()
+            self._keep([c for c in distinct if c in self.known])
         slots = list(map(self.known.get, distinct))
         new = [k for k, slot in enumerate(slots) if slot is None]
         missing = [distinct[k] for k in new if len(distinct[k]) <= LONGEST]
@@ -155,7 +177,7 @@ class ChunkCache:
 class CachedEncoder(ChunkCache):
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -171,22 +193,46 @@ class CachedEncoder(ChunkCache):
             self.folds and len(mark) == 1 and joined == [i for ids in plain for i in ids + mark]
             and all(t.replace(MARK.encode(), b"") and not t.replace(MARK.encode(), b"").isalnum() for t in self.special)
         ) else None
+        # The bytes of each token, where a text's bytes are its tokens' and no special token is made of words.
+        before, self.widths = self.tokenizer.pre_tokenizer, None
+        if (self.tokenizer.normalizer is None and isinstance(self.tokenizer.model, models.BPE)
+                and isinstance(before, pre_tokenizers.ByteLevel) and not before.add_prefix_space
+                and all(t and not t.isalnum() for t in ("".join(s.decode().split()) for s in self.special))):
+            tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.widths = np.zeros(max(tokens.values()) + 1, np.int64)
+            self.widths[list(tokens.values())] = list(map(len, tokens))
         self.forget()
 
     def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
+    def _words(self, chunks: list[bytes]) -> list[bool]:
+        """Which chunks may be one text with others."""
+        if self.mark is not None:
+            return list(map(bytes.isalnum, chunks))
+        if self.widths is None:
+            return [False] * len(chunks)
+        return [c[:1].isspace() and c[1:].decode("utf-8", "replace").isalnum() for c in chunks]
+
     def ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if self.mark is not None and all(map(bytes.isalnum, chunks)):
-            texts = [(MARK.join([c.decode() for c in chunks[k:k + MARKED]]) + MARK) for k in range(0, len(chunks), MARKED)]
-            ids = np.concatenate([np.array(i, np.uint32) for i in self.encode_chunks(texts)])
+        if not all(self._words(chunks)):
+            return super().ids_of(chunks)
+        mark = "" if self.mark is None else MARK
+        texts = [mark.join([c.decode() for c in chunks[k:k + MARKED]]) + mark for k in range(0, len(chunks), MARKED)]
+        ids = np.concatenate([np.array(i, np.uint32) for i in self.encode_chunks(texts)])
+        if mark:
             marks = np.flatnonzero(ids == self.mark)
             if len(marks) == len(chunks):
                 return np.delete(ids, marks), np.diff(marks, prepend=-1) - 1
+        else:
+            ends, chunk_ends = np.cumsum(self.widths[ids]), np.cumsum(list(map(len, chunks)))
+            last = np.flatnonzero(np.isin(ends, chunk_ends, assume_unique=True))
+            if len(last) == len(chunks) and last[-1] == len(ids) - 1:
+                return ids, np.diff(last, prepend=-1)
         return super().ids_of(chunks)
 
     def _learn(self, chunks: list[bytes]) -> None:
-        words = list(map(bytes.isalnum, chunks))
+        words = self._words(chunks)
         for kind in (True, False):
             if some := [c for c, word in zip(chunks, words) if word == kind]:
                 super()._learn(some)

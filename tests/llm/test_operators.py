@@ -72,6 +72,53 @@ def test_the_library_gets_many_words_at_once(monkeypatch):
     assert len(given_texts) <= 5 and not any(c.isspace() for c in source.known)
 
 
+def test_the_library_gets_many_words_behind_white_space_at_once(monkeypatch):
+    source, given_texts = cached_encoder.CachedEncoder(BYTES), []
+    encode = source.encode_chunks
+    monkeypatch.setattr(source, "encode_chunks", lambda chunks: given_texts.extend(chunks) or encode(chunks))
+    draw = random.Random(9)
+    words = ["".join(draw.choices("thingerT4é日²", k=draw.randrange(1, 12))) for _ in range(5_000)]
+    text = "".join(draw.choice([" ", " ", "\n", "\t"]) + w for w in words)
+    ids, offsets = source.encode(pa.array(["", text, "  ", "a\u2003b <|endoftext|>"], pa.large_string()))
+    assert ids[:offsets[2]].tolist() == library(BYTES)(text) and ids[offsets[2]:offsets[3]].tolist() == library(BYTES)("  ")
+    assert ids[offsets[3]:].tolist() == library(BYTES)("a\u2003b <|endoftext|>")
+    assert len(given_texts) <= 8
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_a_full_cache_keeps_the_chunks_of_the_texts_at_hand(monkeypatch, path):
+    monkeypatch.setattr(cached_encoder, "REMEMBERED_BYTES", 0)
+    source, given_texts = cached_encoder.CachedEncoder(path), []
+    encode = source.encode_chunks
+    monkeypatch.setattr(source, "encode_chunks", lambda chunks: given_texts.extend(chunks) or encode(chunks))
+    for text, new in [
+        ("the thing and one more", "the thing and one more"), ("the thing and one more", ""),
+        ("the thing and two", "two"), ("and", "and" if path == BYTES else ""), ("  ", ""),
+        ("the thing and one more", "the thing and one more"),
+    ]:
+        given_texts.clear()
+        ids, _ = source.encode(pa.array([text], pa.large_string()))
+        fresh = cached_encoder.CachedEncoder(path)
+        assert ids.tolist() == fresh.encode(pa.array([text], pa.large_string()))[0].tolist() == library(path)(text)
+        assert sorted(" ".join(given_texts).replace("~", " ").split()) == sorted(new.split())
+        if text.strip():
+            assert set(source.known) == set(fresh.known) and source.held_bytes == fresh.held_bytes
+
+
+@pytest.mark.parametrize("special", ["ab", " ab", "a b", " ", "b\n"])
+def test_special_tokens_of_words_behind_white_space(folder, special):
+    from tokenizers import Tokenizer
+
+    tokenizer, path = Tokenizer.from_file(BYTES), f"{folder}/special.json"
+    tokenizer.add_special_tokens([special])
+    tokenizer.save(path)
+    texts = [" ab xaby", " a", " b\nc", " a b ab", " xa b\n"]
+    source = cached_encoder.CachedEncoder(path)
+    ids, offsets = source.encode(pa.array(texts, pa.large_string()))
+    assert source.widths is None
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library(path)(t) for t in texts]
+
+
 @pytest.mark.parametrize("special", ["~", "ab", "a~b"])
 def test_special_tokens_of_words_and_marks(folder, special):
     from tokenizers import Tokenizer
